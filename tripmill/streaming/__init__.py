@@ -1,0 +1 @@
+"""Holds nothing: the trip workload is batch only, so no streaming operator is offered."""
