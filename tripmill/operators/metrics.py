@@ -1,7 +1,7 @@
 """Evaluation of binary predictions: errors, confusion, weighted rates, ROC and PR curves.
 
-Everything starts from one map-side aggregation of the predictions (four cells, or at most
-`bins` score groups); curves are running sums over those few rows. The positive class is 1.0.
+Everything starts from one map-side aggregation of the predictions: four cells, or one row per
+distinct score, over which the curves are exact running sums. The positive class is 1.0.
 swap=True exchanges the roles of label and prediction, to compare with figures that were
 published that way round.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SCORE_BINS = 1000
+SLICES = 200
 
 
 def error_rate(predictions: DataFrame) -> DataFrame:
@@ -79,107 +79,132 @@ def metric_report(predictions: DataFrame, swap: bool = False) -> DataFrame:
     return metrics_from_confusion(confusion_matrix(predictions, swap))
 
 
-def score_counts(
-    predictions: DataFrame, score: str = "prediction", bins: int | None = None
-) -> DataFrame:
-    """(score, pos, neg) per distinct score.
-
-    With bins, scores first snap to the lower edge of one of `bins` equal slices of 0..1 (1.0
-    keeps a slice of its own), which bounds the result whatever the data holds.
-    """
-    value = F.col(score).cast("double")
-    if bins:
-        value = F.floor(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)) * bins) / F.lit(
-            float(bins)
-        )
-    return predictions.groupBy(value.alias("score")).agg(
+def score_counts(predictions: DataFrame, score: str = "prediction") -> DataFrame:
+    """(score, pos, neg) per distinct score."""
+    return predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col("label") == 1.0).alias("pos"),
         F.count_if(F.col("label") != 1.0).alias("neg"),
     )
 
 
-def _running(counts: DataFrame) -> DataFrame:
-    """Cumulative tp and fp by falling score, with totals p and n. Sees one row per score bin."""
-    upto = Window.orderBy(F.desc("score")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+def running_counts(counts: DataFrame, slices: int = 1) -> DataFrame:
+    """Exact cumulative counts by falling score, from rows of (score, pos, neg).
+
+    Gives point (1 for the highest score), points (their number), pos, neg, tp and fp (counts at
+    or above the score) and the totals p and n. With slices > 1 the distinct scores are cut at
+    their quantiles: each slice is summed by itself and lifted by the totals of the slices above
+    it, so no task sees all scores.
+    """
     everything = Window.partitionBy()
-    return counts.select(
-        F.row_number().over(Window.orderBy(F.desc("score"))).alias("point"),
-        F.sum("pos").over(upto).cast("double").alias("tp"),
-        F.sum("neg").over(upto).cast("double").alias("fp"),
-        F.sum("pos").over(everything).cast("double").alias("p"),
-        F.sum("neg").over(everything).cast("double").alias("n"),
-        F.count("*").over(everything).alias("points"),
+    if slices == 1:
+        placed = counts.withColumns(
+            {"k0": F.lit(0), "pos0": F.lit(0), "neg0": F.lit(0)}
+            | {"points": F.count("*").over(everything)}
+            | {"p": F.sum("pos").over(everything), "n": F.sum("neg").over(everything)}
+        )
+        order = Window.orderBy(F.desc("score"))
+    else:
+        cuts = [i / slices for i in range(1, slices)]
+        edges = counts.agg(F.percentile_approx("score", cuts, 10 * slices)).scalar()
+        place = F.size(F.filter("edges", lambda e: e < F.col("score")))
+        # never null, or the join's null check on it would run on every prediction row
+        place = F.coalesce(place, F.lit(0))
+        sliced = counts.withColumn("edges", edges).withColumn("slice", place).drop("edges")
+        above = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+        totals = sliced.groupBy("slice").agg(
+            F.count("*").alias("k"), F.sum("pos").alias("sp"), F.sum("neg").alias("sn")
+        )
+        lifts = totals.select(
+            "slice",
+            F.coalesce(F.sum("k").over(above), F.lit(0)).alias("k0"),
+            F.coalesce(F.sum("sp").over(above), F.lit(0)).alias("pos0"),
+            F.coalesce(F.sum("sn").over(above), F.lit(0)).alias("neg0"),
+            F.sum("k").over(everything).alias("points"),
+            F.sum("sp").over(everything).alias("p"),
+            F.sum("sn").over(everything).alias("n"),
+        )
+        placed = sliced.join(F.broadcast(lifts), "slice")  # at most `slices` rows
+        order = Window.partitionBy("slice").orderBy(F.desc("score"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return placed.select(
+        (F.row_number().over(order) + F.col("k0")).cast("bigint").alias("point"),
+        F.col("points"),
+        F.col("pos").cast("double").alias("pos"),
+        F.col("neg").cast("double").alias("neg"),
+        (F.sum("pos").over(upto) + F.col("pos0")).cast("double").alias("tp"),
+        (F.sum("neg").over(upto) + F.col("neg0")).cast("double").alias("fp"),
+        F.col("p").cast("double").alias("p"),
+        F.col("n").cast("double").alias("n"),
     )
 
 
+def _curve_points(predictions: DataFrame, score: str, slices: int | None) -> DataFrame:
+    # a hard prediction has one score per class; any other score may have one per row
+    if slices is None:
+        slices = 1 if score == "prediction" else SLICES
+    return running_counts(score_counts(predictions, score), slices)
+
+
 def roc_curve(
-    predictions: DataFrame, score: str = "prediction", bins: int | None = SCORE_BINS
+    predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:
     """(point, fpr, tpr) by falling score, with (0,0) put first and (1,1) put last."""
-    return roc_from_counts(score_counts(predictions, score, bins))
+    return roc_from_running(_curve_points(predictions, score, slices))
 
 
-def roc_from_counts(counts: DataFrame) -> DataFrame:
-    fpr, tpr = F.try_divide("fp", "n"), F.try_divide("tp", "p")
+def roc_from_running(running: DataFrame) -> DataFrame:
+    """roc_curve from the rows of running_counts."""
 
     def at(point: Column, x: Column, y: Column) -> Column:
-        return F.struct(point.cast("int").alias("point"), x.alias("fpr"), y.alias("tpr"))
+        return F.struct(point.cast("bigint").alias("point"), x.alias("fpr"), y.alias("tpr"))
 
-    here = at(F.col("point"), fpr, tpr)
+    first, last = F.col("point") == 1, F.col("point") == F.col("points")
+    here = at(F.col("point"), F.try_divide("fp", "n"), F.try_divide("tp", "p"))
     start = at(F.lit(0), F.lit(0.0), F.lit(0.0))
     end = at(F.col("points") + 1, F.lit(1.0), F.lit(1.0))
-    around = F.array_compact(
-        F.array(
-            F.when(F.col("point") == 1, start), here, F.when(F.col("point") == F.col("points"), end)
-        )
-    )
-    return _running(counts).select(F.inline(around)).orderBy("point")
-
-
-def _area(x: str, y: str) -> Column:
-    """Sum of trapezoids between neighbouring points; x0 and y0 hold the point before."""
-    return F.sum((F.col(x) - F.col("x0")) * (F.col(y) + F.col("y0")) / 2)
+    around = F.array_compact(F.array(F.when(first, start), here, F.when(last, end)))
+    return running.select(F.inline(around)).orderBy("point")
 
 
 def auc_roc(
-    predictions: DataFrame, score: str = "prediction", bins: int | None = SCORE_BINS
+    predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:
     """(auc_roc): trapezoid area under roc_curve."""
-    curve = roc_curve(predictions, score, bins)
-    order = Window.orderBy("point")
-    steps = curve.select(
-        "fpr", "tpr", F.lag("fpr").over(order).alias("x0"), F.lag("tpr").over(order).alias("y0")
+    # a step's start is the point less its own counts, so no neighbour is looked up
+    step = F.col("neg") * (F.col("tp") * 2 - F.col("pos")) / 2
+    return (
+        _curve_points(predictions, score, slices)
+        .agg(F.sum(step).alias("area"), F.max(F.col("p") * F.col("n")).alias("whole"))
+        .select(F.try_divide("area", "whole").alias("auc_roc"))
     )
-    return steps.agg(_area("fpr", "tpr").alias("auc_roc"))
 
 
 def pr_curve(
-    predictions: DataFrame, score: str = "prediction", bins: int | None = SCORE_BINS
+    predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:
     """(point, recall, precision) by falling score; starts at recall 0 with the first precision."""
-    points = _running(score_counts(predictions, score, bins)).select(
-        F.col("point").cast("int").alias("point"),
+    points = _curve_points(predictions, score, slices).select(
+        "point",
         F.try_divide("tp", "p").alias("recall"),
         F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
     )
     here = F.struct("point", "recall", "precision")
-    start = F.struct(F.lit(0).alias("point"), F.lit(0.0).alias("recall"), "precision")
+    start = F.struct(
+        F.lit(0).cast("bigint").alias("point"), F.lit(0.0).alias("recall"), "precision"
+    )
     around = F.when(F.col("point") == 1, F.array(start, here)).otherwise(F.array(here))
     return points.select(F.inline(around)).orderBy("point")
 
 
 def auc_pr(
-    predictions: DataFrame, score: str = "prediction", bins: int | None = SCORE_BINS
+    predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:
     """(auc_pr): trapezoid area under pr_curve."""
-    curve = pr_curve(predictions, score, bins)
-    order = Window.orderBy("point")
-    steps = curve.select(
-        "recall",
-        "precision",
-        F.lag("recall").over(order).alias("x0"),
-        F.lag("precision").over(order).alias("y0"),
+    tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
+    precision = F.try_divide(tp, tp + fp)
+    before = F.coalesce(F.try_divide(tp - pos, (tp - pos) + (fp - neg)), precision)
+    return (
+        _curve_points(predictions, score, slices)
+        .agg(F.sum(pos * (precision + before) / 2).alias("area"), F.max("p").alias("p"))
+        .select(F.try_divide("area", "p").alias("auc_pr"))
     )
-    return steps.agg(_area("recall", "precision").alias("auc_pr"))

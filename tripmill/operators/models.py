@@ -6,8 +6,9 @@ copy of the features and hands independent fits to a few driver threads.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -55,6 +56,22 @@ BAYES_CHOICE = {"modelType": "multinomial", "smoothing": 100.0}
 FOREST_CHOICE = {"maxBins": 10, "maxDepth": 9, "numTrees": 5, "minInfoGain": 0.0}
 
 
+@contextmanager
+def cached(data: DataFrame) -> Iterator[DataFrame]:
+    """Keep a frame for the passes of a fit, in memory and then on disk; lost parts recompute.
+
+    A frame that is kept already stays as it is.
+    """
+    if data.is_cached:
+        yield data
+        return
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield data
+    finally:
+        data.unpersist()
+
+
 def decision_tree(impurity: str, max_depth: int, max_bins: int, seed: int = SEED):
     return DecisionTreeClassifier(
         impurity=impurity, maxDepth=max_depth, maxBins=max_bins, seed=seed
@@ -81,8 +98,7 @@ def compare_trees(
     Trees are fitted on two thirds of the data and judged on the rest; one pass over the
     validation rows judges all of them.
     """
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with cached(data) as data:
         fit_part, valid_part = hash_split(data, salt="inner")
         models = _fit_all([decision_tree(*s) for s in settings], fit_part, parallelism)
         judged = valid_part.select("features", "label")
@@ -93,8 +109,6 @@ def compare_trees(
             F.avg((F.col(f"p{i}") != F.col("label")).cast("double")) for i in range(len(models))
         ]
         n_valid, *errors = judged.agg(F.count("*"), *wrong).head()
-    finally:
-        data.unpersist()
     return data.sparkSession.createDataFrame(
         [(*s, n_valid, error) for s, error in zip(settings, errors)],
         "impurity string, max_depth int, max_bins int, n_valid bigint, error_rate double",
@@ -131,7 +145,7 @@ def cross_validate(
 ) -> CrossValidatorModel:
     """Cross-validated choice from a grid by area under ROC; bestModel is refitted on all data.
 
-    Folds come from the row key, so a recomputed partition lands in the same fold.
+    Every fold and the final fit read the features, so they are kept meanwhile. Folds come from the row key, so a recomputed partition lands in the same fold.
     """
     validator = CrossValidator(
         estimator=estimator,
@@ -142,12 +156,8 @@ def cross_validate(
         parallelism=parallelism,
         seed=SEED,
     )
-    # every fold and the final fit read the features: keep one copy, spilling to disk
-    data = with_fold(data, folds).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return validator.fit(data)
-    finally:
-        data.unpersist()
+    with cached(data) as data:
+        return validator.fit(with_fold(data, folds))
 
 
 def tuning_table(spark, tuned: CrossValidatorModel) -> DataFrame:

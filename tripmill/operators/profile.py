@@ -115,97 +115,88 @@ def _bucket(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.when(hi == lo, 0).otherwise(F.least(position, F.lit(bins - 1))).cast("int")
 
 
-def _with_edges(df: DataFrame, lo: Column, hi: Column, bins: int) -> DataFrame:
-    """Add lo, hi and label to rows that carry bucket and n."""
-    span = hi - lo
-    start = lo + F.col("bucket") * span / F.lit(bins)
-    end = lo + (F.col("bucket") + 1) * span / F.lit(bins)
+def _spread(counted: DataFrame, bins: int, *keys: str) -> DataFrame:
+    """One row per bucket from rows of (keys, by_bucket: map of bucket to n, b: lo and hi).
+
+    A map holds at most `bins` entries; buckets that it lacks come out with n = 0.
+    """
+    lo, hi, bucket = F.col("b.lo"), F.col("b.hi"), F.col("bucket")
+    span, last = hi - lo, F.when(hi > lo, F.lit(bins - 1)).otherwise(F.lit(0))
+    end = F.when(bucket == last, hi).otherwise(lo + (bucket + 1) * span / F.lit(bins))
     return (
-        df.withColumn("lo", start)
-        .withColumn("hi", F.when((F.col("bucket") == bins - 1) | (hi == lo), hi).otherwise(end))
-        .withColumn("label", F.concat(F.lit("["), "lo", F.lit(", "), "hi", F.lit("]")))
-        .withColumn("n", F.coalesce("n", F.lit(0)))
+        counted.filter(lo.isNotNull())
+        .select("*", F.explode(F.sequence(F.lit(0), last)).alias("bucket"))
+        .select(
+            *keys,
+            "bucket",
+            (lo + bucket * span / F.lit(bins)).alias("lo"),
+            end.alias("hi"),
+            F.coalesce(F.try_element_at("by_bucket", bucket), F.lit(0)).alias("n"),
+        )
+        .select(
+            *keys,
+            "bucket",
+            "lo",
+            "hi",
+            F.concat(F.lit("["), "lo", F.lit(", "), "hi", F.lit("]")).alias("label"),
+            "n",
+        )
     )
 
 
+def _as_map() -> Column:
+    return F.map_from_entries(F.collect_list(F.struct("bucket", "n"))).alias("by_bucket")
+
+
 def histogram(
     df: DataFrame,
     column: str,
     bins: int = HISTOGRAM_BINS,
     clip: tuple[float, float] | None = None,
 ) -> DataFrame:
-    """(bucket, lo, hi, label, n): equal-width histogram, empty buckets included.
+    """(bucket, lo, hi, label, n) in bucket order: equal-width histogram, empty buckets included.
 
     clip=(a, b) looks only at values from a to b. Nulls and NaN are skipped. One narrow pass
     finds the bounds, a second counts; at most `bins` rows leave the counting.
     """
-    value = F.col(column).cast("double")
-    values = df.select(value.alias("x")).filter(_usable(F.col("x")))
+    values = df.select(F.col(column).cast("double").alias("x")).filter(_usable(F.col("x")))
     if clip:
         values = values.filter(F.col("x").between(*[F.lit(float(v)) for v in clip]))
     bounds = values.agg(_bounds(F.col("x"))).scalar()
-    lo, hi = bounds["lo"], bounds["hi"]
-    counts = values.groupBy(_bucket(F.col("x"), lo, hi, bins).alias("bucket")).agg(
-        F.count("*").alias("n")
-    )
-    slots = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bucket"))
-    slots = slots.filter((F.col("bucket") == 0) | (hi > lo)).filter(lo.isNotNull())
-    filled = slots.join(F.broadcast(counts), "bucket", "left")  # at most `bins` rows
-    return (
-        _with_edges(filled, lo, hi, bins)
-        .select("bucket", "lo", "hi", "label", "n")
-        .orderBy("bucket")
+    bucket = _bucket(F.col("x"), F.col("b.lo"), F.col("b.hi"), bins)
+    counts = (
+        values.withColumn("b", bounds)
+        .groupBy(bucket.alias("bucket"))
+        .agg(F.count("*").alias("n"))
     )
+    return _spread(counts.agg(_as_map()).withColumn("b", bounds), bins)
 
 
 def histograms(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:
     """(column, bucket, lo, hi, label, n) for several columns from two passes over the rows,
     however many columns there are. Meant for sources that cannot read one column alone (CSV)."""
     values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    bounds = values.agg(
-        F.struct(*[_bounds(F.col(c)).alias(c) for c in columns])
-    ).scalar()
+    bounds = values.agg(F.struct(*[_bounds(F.col(c)).alias(c) for c in columns])).scalar()
     # each row adds 1 to one bucket per column, all collapsed map-side to columns x bins rows
-    buckets = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.when(
-                    _usable(F.col(c)), _bucket(F.col(c), bounds[c]["lo"], bounds[c]["hi"], bins)
-                ).alias("bucket"),
-            )
-            for c in columns
-        ]
-    )
+    hits = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.when(
+                _usable(F.col(c)), _bucket(F.col(c), F.col(f"b.{c}.lo"), F.col(f"b.{c}.hi"), bins)
+            ).alias("bucket"),
+        )
+        for c in columns
+    ]
     counts = (
-        values.select(F.inline(buckets))
+        values.withColumn("b", bounds)
+        .select(F.inline(F.array(*hits)))
         .filter(F.col("bucket").isNotNull())
         .groupBy("column", "bucket")
         .agg(F.count("*").alias("n"))
     )
-    limits = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                bounds[c]["lo"].alias("min_x"),
-                bounds[c]["hi"].alias("max_x"),
-            )
-            for c in columns
-        ]
-    )
-    lo, hi = F.col("min_x"), F.col("max_x")
-    slots = (
-        df.sparkSession.range(bins)
-        .select(F.col("id").cast("int").alias("bucket"), F.inline(limits))
-        .filter((F.col("bucket") == 0) | (hi > lo))
-        .filter(lo.isNotNull())
-    )
-    filled = slots.join(F.broadcast(counts), ["column", "bucket"], "left")  # columns x bins rows
-    return (
-        _with_edges(filled, lo, hi, bins)
-        .select("column", "bucket", "lo", "hi", "label", "n")
-        .orderBy("column", "bucket")
-    )
+    limits = F.create_map(*[part for c in columns for part in (F.lit(c), bounds[c])])
+    counted = counts.groupBy("column").agg(_as_map()).withColumn("b", limits[F.col("column")])
+    return _spread(counted, bins, "column").orderBy("column", "bucket")
 
 
 def approx_median(df: DataFrame, column: str, relative_error: float = 0.0001) -> float:

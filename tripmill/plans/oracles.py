@@ -277,11 +277,12 @@ def _bayes_confusion() -> str:
 _RULE = """, clock as (
   select case when trip_duration < 1200 then 0.0::double else 1.0::double end as label,
     (hour(dropoff_datetime) - hour(pickup_datetime)) * 3600
-      + (minute(dropoff_datetime) - minute(pickup_datetime)) * 60 as s
+      + (minute(dropoff_datetime) - minute(pickup_datetime)) * 60 as s,
+    s + second(dropoff_datetime) - second(pickup_datetime) + passenger_count * 100 as fine
   from trips
 ), ruled as (
   select label, case when s >= 1080 then 1.0::double else 0.0::double end as prediction,
-    least(greatest(s / cast(3600 as double), 0), 1) as score
+    fine / cast(7200 as double) as score
   from clock
 )"""
 
@@ -321,12 +322,12 @@ def _curve(score: str) -> str:
     sum(pos) over () as p, sum(neg) over () as n, count(*) over () as k
   from groups
 ), roc as (
-  select 0 as point, 0.0::double as fpr, 0.0::double as tpr
-  union all select cast(point as int), fp / n, tp / p from run
-  union all select cast(max(k) + 1 as int), 1.0::double, 1.0::double from run
+  select 0::bigint as point, 0.0::double as fpr, 0.0::double as tpr
+  union all select point, fp / n, tp / p from run
+  union all select max(k) + 1, 1.0::double, 1.0::double from run
 ), pr as (
-  select 0 as point, 0.0::double as recall, tp / (tp + fp) as precision from run where point = 1
-  union all select cast(point as int), tp / p, tp / (tp + fp) from run
+  select 0::bigint as point, 0.0::double as recall, tp / (tp + fp) as precision from run where point = 1
+  union all select point, tp / p, tp / (tp + fp) from run
 ), roc_area as (
   select sum((fpr - x0) * (tpr + y0) / 2) as area from (
     select *, lag(fpr) over (order by point) as x0, lag(tpr) over (order by point) as y0 from roc)
@@ -339,7 +340,7 @@ def _curve(score: str) -> str:
 
 
 _HARD = _curve("prediction")
-_BINNED = _curve("floor(score * 1000) / cast(1000 as double)")
+_SCORED = _curve("score")
 _ROC = "select point, round(fpr, 6) as fpr, round(tpr, 6) as tpr from roc"
 
 
@@ -488,11 +489,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "auc_roc": _sql("select round(area, 6) as auc_roc from roc_area", _HARD),
         "auc_pr": _sql("select round(area, 6) as auc_pr from pr_area", _HARD),
-        "score_roc_curve": _sql(_ROC, _BINNED),
+        "score_roc_curve": _sql(_ROC, _SCORED),
         "score_auc": _sql(
             "select 'auc_roc' as metric, round(area, 6) as value from roc_area "
             "union all select 'auc_pr', round(area, 6) from pr_area",
-            _BINNED,
+            _SCORED,
         ),
         "nb_model": _bayes_rows(),
         "nb_score": _bayes_confusion(),

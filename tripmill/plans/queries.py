@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.functions.scalars import class_label, hash_bucket
+from tripmill.functions.scalars import class_label, hash_bucket, seconds_of_day
 from tripmill.operators import clean as cleaning
 from tripmill.operators import correlation, flags, metrics, models, profile, split
 from tripmill.operators.features import (
@@ -23,6 +23,7 @@ from tripmill.operators.features import (
     string_indexer,
 )
 from tripmill.plans.training import score, train
+from tripmill.session import tune
 from tripmill.sources import sinks
 from tripmill.sources.scratch import scratch_dir
 from tripmill.sources.trips import (
@@ -63,15 +64,17 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tune(spark).read.parquet(f"{sf_dir}/events.parquet")
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trips_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return trips_from_events(_events(spark, sf_dir))
 
 
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips with missing passenger counts."""
-    return trips_from_events(
-        spark.read.parquet(f"{sf_dir}/events.parquet"), null_passengers_every=101
-    )
+    return trips_from_events(_events(spark, sf_dir), null_passengers_every=101)
 
 
 def _r6(value: Column | str) -> Column:
@@ -422,16 +425,16 @@ def feature_vector_shifted(spark, sf_dir):
 
 
 def rule_predictions(spark, sf_dir) -> DataFrame:
-    """label from the duration; prediction and score from the clock hands alone."""
+    """label from the duration; prediction from the clock hands; a score of many values."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
-    seconds = (F.hour(dropoff) - F.hour(pickup)) * 3600 + (
+    coarse = (F.hour(dropoff) - F.hour(pickup)) * 3600 + (
         F.minute(dropoff) - F.minute(pickup)
     ) * 60
-    score = F.least(F.greatest(seconds / F.lit(3600.0), F.lit(0.0)), F.lit(1.0))
+    fine = seconds_of_day(dropoff) - seconds_of_day(pickup) + F.col("passenger_count") * 100
     return classify(trips(spark, sf_dir), CLASS_THRESHOLD).select(
         class_label("trip_duration").alias("label"),
-        F.when(seconds >= 1080, 1.0).otherwise(0.0).alias("prediction"),
-        score.alias("score"),
+        F.when(coarse >= 1080, 1.0).otherwise(0.0).alias("prediction"),
+        (fine / F.lit(7200.0)).alias("score"),
     )
 
 

@@ -18,6 +18,7 @@ from tripmill.operators.models import (
     FOREST_GRID,
     TREE_CHOICE,
     TREE_SETTINGS,
+    cached,
     compare_trees,
     cross_validate,
     decision_tree,
@@ -27,6 +28,7 @@ from tripmill.operators.models import (
 )
 from tripmill.operators.profile import approx_median
 from tripmill.operators.split import hash_split, random_split
+from tripmill.session import tune
 from tripmill.sources.sinks import load_model
 from tripmill.sources.trips import read_trips_csv
 
@@ -75,6 +77,7 @@ def train(
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
+    tune(trips.sparkSession)
     sides = hash_split(trips) if split == "hash" else random_split(trips)
     train_side, test_side, loss = clean_split(*sides, rules)
     if threshold is None:
@@ -88,7 +91,8 @@ def train(
         with_dropoff_time=with_dropoff_time,
         handle_invalid=handle_invalid,
     ).fit(train_side)
-    fitted, tuning = _fit(encoder.transform(train_side), kind, grid, folds, parallelism)
+    with cached(encoder.transform(train_side)) as encoded:
+        fitted, tuning = _fit(encoded, kind, grid, folds, parallelism)
     model = PipelineModel(encoder.stages + [fitted])
     predictions = model.transform(test_side).select("id", "probability", "prediction", "label")
     return Trained(model, threshold, loss, predictions, tuning)
@@ -122,6 +126,7 @@ class Scored:
 
 def score(trips: DataFrame, model: PipelineModel | str, rules: CleanRules = CleanRules()) -> Scored:
     """Clean new trips and predict them with a saved chain (a path or a loaded model)."""
+    tune(trips.sparkSession)
     if isinstance(model, str):
         model = load_model(model)
     predictions = model.transform(clean(trips, rules))

@@ -58,13 +58,13 @@ def trips_from_events(events: DataFrame, null_passengers_every: int | None = Non
     passengers = (user % 7).cast("int")
     if null_passengers_every:
         passengers = F.when(event % null_passengers_every != 0, passengers)
-    pickup = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    pickup = F.unix_seconds(F.col("ts").cast("timestamp"))
     duration = F.floor(F.col("value") * 15).cast("int")
     return events.select(
         F.concat(F.lit("id"), event.cast("string")).alias("id"),
         (user % 2 + 1).cast("int").alias("vendor_id"),
-        pickup.alias("pickup_datetime"),
-        F.timestamp_add("SECOND", duration, pickup).alias("dropoff_datetime"),
+        F.timestamp_seconds(pickup).alias("pickup_datetime"),
+        F.timestamp_seconds(pickup + duration).alias("dropoff_datetime"),
         passengers.alias("passenger_count"),
         ((pickup_x - 74030000).cast("double") / 1000000).alias("pickup_longitude"),
         ((pickup_y + 40630000).cast("double") / 1000000).alias("pickup_latitude"),
