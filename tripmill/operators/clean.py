@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,26 +21,27 @@ class CleanRules:
     cutoff: str = "2016-07-01"
 
 
-def _instant(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
-
-
 def is_complete(df: DataFrame) -> Column:
     """True where no column is null and no floating-point column is NaN, as na.drop keeps."""
-    checks = []
-    for field in df.schema.fields:
-        checks.append(F.col(field.name).isNotNull())
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            checks.append(~F.isnan(field.name))
-    return reduce(lambda a, b: a & b, checks)
+    checks = [f"`{f.name}` is not null" for f in df.schema.fields]
+    checks += [
+        f"not isnan(`{f.name}`)"
+        for f in df.schema.fields
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+    ]
+    return F.expr(" and ".join(checks))
 
 
 def in_dates(rules: CleanRules) -> Column:
     """True where pickup and dropoff avoid the excluded day and dropoff precedes the cutoff."""
-    lo, hi = _instant(rules.exclude_from), _instant(rules.exclude_to)
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
-    outside = lambda ts: (ts < lo) | (ts > hi)
-    return outside(pickup) & outside(dropoff) & (dropoff < _instant(rules.cutoff))
+    lo, hi, end = (
+        f"timestamp'{t}'" for t in (rules.exclude_from, rules.exclude_to, rules.cutoff)
+    )
+    return F.expr(
+        f"(pickup_datetime < {lo} or pickup_datetime > {hi})"
+        f" and (dropoff_datetime < {lo} or dropoff_datetime > {hi})"
+        f" and dropoff_datetime < {end}"
+    )
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:

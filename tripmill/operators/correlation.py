@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The variables of the correlation report, in its order.
@@ -33,55 +33,43 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """(row, col, corr) for all ordered pairs; null where a column is constant.
 
-    Rows with a null in any of the columns are left out. A first pass finds the means, a second
-    sums the products of the centred columns: plain sums, several times cheaper per row than as
-    many running co-moments, and as exact. Each unordered pair is summed once and mirrored.
+    Rows with a null in any of the columns are left out.
     """
-    complete = df.select([F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    first = complete.agg(
-        F.struct(
-            *[
-                F.struct(F.avg(c).alias("mean"), (F.min(c) < F.max(c)).alias("varies")).alias(c)
-                for c in columns
-            ]
-        )
-    ).scalar()
-    centred = complete.withColumn("m", first).select(
-        [(F.col(c) - F.col(f"m.{c}.mean")).alias(c) for c in columns]
+    entries = ", ".join(
+        f"struct('{a}' as row, '{b}' as col, r{min(i, j)}_{max(i, j)} as corr)"
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
     )
-    n = range(len(columns))
-    sums = centred.agg(
-        *[
-            F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"s{i}_{j}")
-            for i, j in combinations_with_replacement(n, 2)
-        ]
-    ).withColumn("m", first)
-
-    def entry(i: int, j: int) -> Column:
-        varies = F.col(f"m.{columns[i]}.varies") & F.col(f"m.{columns[j]}.varies")
-        if i == j:
-            value = F.lit(1.0)
-        else:
-            spread = F.sqrt(f"s{i}_{i}") * F.sqrt(f"s{j}_{j}")
-            value = F.try_divide(F.col(f"s{min(i, j)}_{max(i, j)}"), spread)
-        return F.struct(
-            F.lit(columns[i]).alias("row"),
-            F.lit(columns[j]).alias("col"),
-            F.when(varies, value).alias("corr"),
-        )
-
-    return sums.select(F.inline(F.array(*[entry(i, j) for i in n for j in n])))
+    return _coefficients(df, columns).selectExpr(f"inline(array({entries}))")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """One line per variable: position, row, and one column per variable."""
-    order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("row")).cast("int")
-    return (
-        correlation_pairs(df, columns)
-        .groupBy("row")
-        .pivot("col", list(columns))
-        .agg(F.first("corr"))
-        .withColumn("position", order)
-        .select("position", "row", *columns)
-        .orderBy("position")
-    )
+    lines = []
+    for i, a in enumerate(columns):
+        cells = ", ".join(f"r{min(i, j)}_{max(i, j)} as `{b}`" for j, b in enumerate(columns))
+        lines.append(f"struct({i + 1} as position, '{a}' as row, {cells})")
+    return _coefficients(df, columns).selectExpr(f"inline(array({', '.join(lines)}))")
+
+
+def _coefficients(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with r<i>_<j>, the correlation of columns i and j, for i <= j.
+
+    A first pass finds the means, a second sums the products of the centred columns: plain sums,
+    several times cheaper per row than as many running co-moments, and as exact. Each unordered
+    pair is summed once.
+    """
+    n = range(len(columns))
+    pairs = list(combinations_with_replacement(n, 2))
+    complete = df.selectExpr(*[f"cast(`{c}` as double) as x{i}" for i, c in enumerate(columns)])
+    complete = complete.dropna()
+    facts = ", ".join(f"avg(x{i}) as m{i}, min(x{i}) < max(x{i}) as v{i}" for i in n)
+    first = complete.selectExpr(f"struct({facts})").scalar()
+    centred = complete.withColumn("m", first).selectExpr(*[f"x{i} - m.m{i} as d{i}" for i in n])
+    sums = centred.selectExpr(*[f"sum(d{i} * d{j}) as s{i}_{j}" for i, j in pairs])
+
+    def coefficient(i: int, j: int) -> str:
+        ratio = "1D" if i == j else f"try_divide(s{i}_{j}, sqrt(s{i}_{i}) * sqrt(s{j}_{j}))"
+        return f"case when m.v{i} and m.v{j} then {ratio} end as r{i}_{j}"
+
+    return sums.withColumn("m", first).selectExpr(*[coefficient(i, j) for i, j in pairs])

@@ -32,46 +32,44 @@ def confusion_matrix(predictions: DataFrame, swap: bool = False) -> DataFrame:
 
 
 def _cells(confusion: DataFrame) -> DataFrame:
-    """One row of doubles: tp, fp, fn, tn."""
-
-    def cell(label: float, prediction: float) -> Column:
-        hit = (F.col("label") == label) & (F.col("prediction") == prediction)
-        return F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).cast("double")
-
-    return confusion.agg(
-        cell(1.0, 1.0).alias("tp"),
-        cell(0.0, 1.0).alias("fp"),
-        cell(1.0, 0.0).alias("fn"),
-        cell(0.0, 0.0).alias("tn"),
+    """One row of doubles: tp, fp, fn, tn, and the class sizes pos, neg and total."""
+    cells = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
+    counts = confusion.selectExpr(
+        *[
+            f"cast(coalesce(sum(n) filter (where label = {a} and prediction = {b}), 0) as double)"
+            f" as {name}"
+            for name, (a, b) in cells.items()
+        ]
     )
+    return counts.selectExpr("*", "tp + fn as pos", "tn + fp as neg", "tp + fp + fn + tn as total")
 
 
 def metrics_from_confusion(confusion: DataFrame) -> DataFrame:
     """(metric, value) for 0/1 predictions given as (label, prediction, n).
 
     weighted_precision, weighted_fpr: per-class rates weighted by class size. auc_roc, auc_pr:
-    areas under the curves that the hard predictions span.
+    areas under the curves that the hard predictions span. A rate without its class is null.
     """
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    pos, neg = tp + fn, tn + fp
-    total = pos + neg
-    nothing = F.lit(0.0)
-    precision_long = F.coalesce(F.try_divide(tp, tp + fp), nothing)
-    precision_short = F.coalesce(F.try_divide(tn, tn + fn), nothing)
-    tpr, fpr = F.try_divide(tp, pos), F.try_divide(fp, neg)
-    base = F.try_divide(pos, total)
-    first = F.coalesce(F.try_divide(tp, tp + fp), base)  # precision at the first point
+    rates = _cells(confusion).selectExpr(
+        "*",
+        "try_divide(tp, pos) as tpr",
+        "try_divide(fp, neg) as fpr",
+        "try_divide(pos, total) as base",
+        "coalesce(try_divide(tp, tp + fp), 0D) as precision_long",
+        "coalesce(try_divide(tn, tn + fn), 0D) as precision_short",
+        "coalesce(try_divide(tp, tp + fp), try_divide(pos, total)) as first",
+    )
     values = {
-        "error_rate": F.try_divide(fp + fn, total),
-        "weighted_precision": F.try_divide(precision_long * pos + precision_short * neg, total),
-        "weighted_fpr": F.try_divide(fpr * pos + F.try_divide(fn, pos) * neg, total),
-        "auc_roc": (tpr - fpr + 1) / 2,
-        "auc_pr": tpr * first + (1 - tpr) * (first + base) / 2,
-        "tpr": tpr,
-        "fpr": fpr,
+        "error_rate": "try_divide(fp + fn, total)",
+        "weighted_precision": "try_divide(precision_long * pos + precision_short * neg, total)",
+        "weighted_fpr": "try_divide(fpr * pos + (1 - tpr) * neg, total)",
+        "auc_roc": "(tpr - fpr + 1) / 2",
+        "auc_pr": "tpr * first + (1 - tpr) * (first + base) / 2",
+        "tpr": "tpr",
+        "fpr": "fpr",
     }
-    rows = [F.struct(F.lit(k).alias("metric"), v.alias("value")) for k, v in values.items()]
-    return _cells(confusion).select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"struct('{k}' as metric, {v} as value)" for k, v in values.items())
+    return rates.selectExpr(f"inline(array({rows}))")
 
 
 def metric_report(predictions: DataFrame, swap: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ from tripmill.operators.features import (
     string_indexer,
 )
 from tripmill.plans.training import score, train
-from tripmill.session import tune
+from tripmill.session import spread, tune
 from tripmill.sources import sinks
 from tripmill.sources.scratch import scratch_dir
 from tripmill.sources.trips import (
@@ -403,7 +403,7 @@ def one_hot_vectors(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir, **options) -> DataFrame:
-    rows = cleaning.clean(trips_raw(spark, sf_dir), RULES)
+    rows = spread(cleaning.clean(trips_raw(spark, sf_dir), RULES))
     return feature_pipeline(**options).fit(rows).transform(rows)
 
 

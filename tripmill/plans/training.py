@@ -28,7 +28,7 @@ from tripmill.operators.models import (
 )
 from tripmill.operators.profile import approx_median
 from tripmill.operators.split import hash_split, random_split
-from tripmill.session import tune
+from tripmill.session import spread, tune
 from tripmill.sources.sinks import load_model
 from tripmill.sources.trips import read_trips_csv
 
@@ -91,7 +91,7 @@ def train(
         with_dropoff_time=with_dropoff_time,
         handle_invalid=handle_invalid,
     ).fit(train_side)
-    with cached(encoder.transform(train_side)) as encoded:
+    with cached(encoder.transform(spread(train_side))) as encoded:
         fitted, tuning = _fit(encoded, kind, grid, folds, parallelism)
     model = PipelineModel(encoder.stages + [fitted])
     predictions = model.transform(test_side).select("id", "probability", "prediction", "label")

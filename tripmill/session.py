@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 # Fixed value: the JVM leaves methods above this many bytecodes uncompiled.
@@ -18,3 +18,13 @@ def tune(spark: SparkSession) -> SparkSession:
     if int(spark.conf.get(_METHOD_LIMIT)) > _JIT_LIMIT:
         spark.conf.set(_METHOD_LIMIT, _JIT_LIMIT)
     return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a frame that arrives in fewer parts than there are cores.
+
+    Encoding and fitting run one task per partition, and a small file is one partition. A table
+    with at least as many partitions as cores is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -17,19 +17,17 @@ def write_series(series: DataFrame, base: str, tag: str, value: str) -> None:
 
     Line i of Values belongs to line i of Tags: both are ordered by the unique tag.
     """
-    ordered = series.orderBy(tag)
-    ordered.select(tag, value).write.mode("overwrite").option("header", True).csv(base)
-    _write_lines(ordered.select(value), base + "Values")
-    _write_lines(ordered.select(tag), base + "Tags")
+    table = _write_table(series.select(tag, value).orderBy(tag), base).orderBy(tag)
+    _write_lines(table.select(value), base + "Values")
+    _write_lines(table.select(tag), base + "Tags")
 
 
 def write_histogram(histogram: DataFrame, base: str) -> None:
     """A histogram as a CSV table at <base>, its counts as <base>Values and its n+1 edges as
     <base>Ranges."""
-    ordered = histogram.orderBy("bucket")
-    ordered.write.mode("overwrite").option("header", True).csv(base)
-    _write_lines(ordered.select("n"), base + "Values")
-    edges = histogram.select("lo").union(histogram.agg(F.max("hi"))).filter("lo is not null")
+    table = _write_table(histogram.orderBy("bucket"), base)
+    _write_lines(table.orderBy("bucket").select("n"), base + "Values")
+    edges = table.select("lo").union(table.agg(F.max("hi"))).filter("lo is not null")
     _write_lines(edges.orderBy("lo"), base + "Ranges")
 
 
@@ -43,10 +41,19 @@ def write_matrix(matrix: DataFrame, base: str) -> None:
     """A pivoted correlation matrix (row, then one column per variable) as <base>Values, with the
     variable names as one line in <base>Tags."""
     names = [c for c in matrix.columns if c not in ("row", "position")]
-    _write_lines(matrix.orderBy("position").select(names), base + "Values")
+    # one row per variable, already in one partition
+    _write_lines(
+        matrix.coalesce(1).sortWithinPartitions("position").select(names), base + "Values"
+    )
     _write_lines(matrix.sparkSession.createDataFrame([tuple(names)], names), base + "Tags")
 
 
+def _write_table(table: DataFrame, base: str) -> DataFrame:
+    """Write a CSV table and return it as stored, so that the source is read only once."""
+    table.write.mode("overwrite").option("header", True).csv(base)
+    return table.sparkSession.read.schema(table.schema).option("header", True).csv(base)
+
+
 def _write_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The column names, order and types of a trip file.
@@ -50,26 +49,26 @@ def trips_from_events(events: DataFrame, null_passengers_every: int | None = Non
     Keys are reduced before each multiplication, so ids far beyond 10^12 do not overflow.
     null_passengers_every=n leaves passenger_count null on every n-th event.
     """
-    event, user = F.col("event_id"), F.col("user_id")
-    pickup_x = (event % 250000 * 7919) % 250000
-    pickup_y = (user % 220000 * 104729 + event % 220000 * 31) % 220000
-    dropoff_x = pickup_x + (event % 40000 * 1299709) % 40000 - 20000
-    dropoff_y = pickup_y + (event % 60000 * 15485863) % 60000 - 30000
-    passengers = (user % 7).cast("int")
+    passengers = "cast(user_id % 7 as int)"
     if null_passengers_every:
-        passengers = F.when(event % null_passengers_every != 0, passengers)
-    pickup = F.unix_seconds(F.col("ts").cast("timestamp"))
-    duration = F.floor(F.col("value") * 15).cast("int")
-    return events.select(
-        F.concat(F.lit("id"), event.cast("string")).alias("id"),
-        (user % 2 + 1).cast("int").alias("vendor_id"),
-        F.timestamp_seconds(pickup).alias("pickup_datetime"),
-        F.timestamp_seconds(pickup + duration).alias("dropoff_datetime"),
-        passengers.alias("passenger_count"),
-        ((pickup_x - 74030000).cast("double") / 1000000).alias("pickup_longitude"),
-        ((pickup_y + 40630000).cast("double") / 1000000).alias("pickup_latitude"),
-        ((dropoff_x - 74030000).cast("double") / 1000000).alias("dropoff_longitude"),
-        ((dropoff_y + 40630000).cast("double") / 1000000).alias("dropoff_latitude"),
-        F.when(F.col("event_type") == "error", "Y").otherwise("N").alias("store_and_fwd_flag"),
-        duration.alias("trip_duration"),
+        passengers = f"case when event_id % {int(null_passengers_every)} <> 0 then {passengers} end"
+    # SQL text: one call each, where column objects would cost a call per operator
+    pickup_x = "(event_id % 250000 * 7919) % 250000"
+    pickup_y = "(user_id % 220000 * 104729 + event_id % 220000 * 31) % 220000"
+    dropoff_x = f"{pickup_x} + (event_id % 40000 * 1299709) % 40000 - 20000"
+    dropoff_y = f"{pickup_y} + (event_id % 60000 * 15485863) % 60000 - 30000"
+    pickup = "unix_seconds(cast(ts as timestamp))"
+    duration = "cast(floor(value * 15) as int)"
+    return events.selectExpr(
+        "concat('id', cast(event_id as string)) as id",
+        "cast(user_id % 2 + 1 as int) as vendor_id",
+        f"timestamp_seconds({pickup}) as pickup_datetime",
+        f"timestamp_seconds({pickup} + {duration}) as dropoff_datetime",
+        f"{passengers} as passenger_count",
+        f"cast({pickup_x} - 74030000 as double) / 1000000 as pickup_longitude",
+        f"cast({pickup_y} + 40630000 as double) / 1000000 as pickup_latitude",
+        f"cast({dropoff_x} - 74030000 as double) / 1000000 as dropoff_longitude",
+        f"cast({dropoff_y} + 40630000 as double) / 1000000 as dropoff_latitude",
+        "case when event_type = 'error' then 'Y' else 'N' end as store_and_fwd_flag",
+        f"{duration} as trip_duration",
     )
