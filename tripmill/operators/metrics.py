@@ -79,9 +79,10 @@ def metric_report(predictions: DataFrame, swap: bool = False) -> DataFrame:
 
 def score_counts(predictions: DataFrame, score: str = "prediction") -> DataFrame:
     """(score, pos, neg) per distinct score."""
+    # not count_if: it gives every use its own names, and the shuffles would not be shared
     return predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col("label") == 1.0).alias("pos"),
-        F.count_if(F.col("label") != 1.0).alias("neg"),
+        F.count(F.when(F.col("label") == 1.0, 1)).alias("pos"),
+        F.count(F.when(F.col("label") != 1.0, 1)).alias("neg"),
     )
 
 
@@ -103,7 +104,9 @@ def running_counts(counts: DataFrame, slices: int = 1) -> DataFrame:
         order = Window.orderBy(F.desc("score"))
     else:
         cuts = [i / slices for i in range(1, slices)]
-        edges = counts.agg(F.percentile_approx("score", cuts, 10 * slices)).scalar()
+        # asking for pos and neg keeps this the same aggregation as below, so it runs only once
+        occurring = counts.filter(F.col("pos") + F.col("neg") > 0)
+        edges = occurring.agg(F.percentile_approx("score", cuts, 10 * slices)).scalar()
         place = F.size(F.filter("edges", lambda e: e < F.col("score")))
         # never null, or the join's null check on it would run on every prediction row
         place = F.coalesce(place, F.lit(0))

@@ -24,11 +24,11 @@ def write_series(series: DataFrame, base: str, tag: str, value: str) -> None:
 
 def write_histogram(histogram: DataFrame, base: str) -> None:
     """A histogram as a CSV table at <base>, its counts as <base>Values and its n+1 edges as
-    <base>Ranges."""
-    table = _write_table(histogram.orderBy("bucket"), base)
-    _write_lines(table.orderBy("bucket").select("n"), base + "Values")
+    <base>Ranges. A histogram is one partition of as many rows as it has buckets."""
+    table = _write_table(histogram, base).coalesce(1)
+    _write_lines(table.sortWithinPartitions("bucket").select("n"), base + "Values")
     edges = table.select("lo").union(table.agg(F.max("hi"))).filter("lo is not null")
-    _write_lines(edges.orderBy("lo"), base + "Ranges")
+    _write_lines(edges.coalesce(1).sortWithinPartitions("lo"), base + "Ranges")
 
 
 def write_grid(grid: DataFrame, path: str) -> None:
@@ -45,7 +45,8 @@ def write_matrix(matrix: DataFrame, base: str) -> None:
     _write_lines(
         matrix.coalesce(1).sortWithinPartitions("position").select(names), base + "Values"
     )
-    _write_lines(matrix.sparkSession.createDataFrame([tuple(names)], names), base + "Tags")
+    tags = matrix.sparkSession.range(0, 1, 1, 1).select(F.lit(",".join(names)))
+    tags.write.mode("overwrite").text(base + "Tags")
 
 
 def _write_table(table: DataFrame, base: str) -> DataFrame:
