@@ -25,7 +25,7 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
 
     F.corr raises under ANSI when a column is constant; dividing the moments does not.
     """
-    both = df.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).dropna()
+    both = df.selectExpr(f"cast(`{a}` as double) as a", f"cast(`{b}` as double) as b").dropna()
     spread = F.stddev_pop("a") * F.stddev_pop("b")
     return both.agg(F.try_divide(F.covar_pop("a", "b"), spread).alias("corr"))
 

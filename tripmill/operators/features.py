@@ -84,7 +84,8 @@ def _derive(threshold: float, shift: bool) -> SQLTransformer:
     for c in NUMERIC:
         if c.endswith("_time"):
             ts = c.removesuffix("_time")
-            parts.append(f"cast(hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}) as double) {c}")
+            seconds = f"hour({ts}) * 3600 + minute({ts}) * 60 + second({ts})"
+            parts.append(f"cast({seconds} as double) {c}")
         elif shift and c.endswith("_longitude"):
             parts.append(f"{c} + 180D as {c}")
         elif shift and c.endswith("_latitude"):

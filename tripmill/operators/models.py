@@ -145,7 +145,8 @@ def cross_validate(
 ) -> CrossValidatorModel:
     """Cross-validated choice from a grid by area under ROC; bestModel is refitted on all data.
 
-    Every fold and the final fit read the features, so they are kept meanwhile. Folds come from the row key, so a recomputed partition lands in the same fold.
+    Every fold and the final fit read the features, so they are kept meanwhile. Folds come from
+    the row key, so a recomputed partition lands in the same fold.
     """
     validator = CrossValidator(
         estimator=estimator,
