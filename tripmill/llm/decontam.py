@@ -2,9 +2,9 @@
 
 A window is a run of consecutive benchmark words. Of the k-grams of every window the one with the
 smallest hash is its fingerprint, chosen in the same way in documents and benchmark; so an equal
-window has an equal fingerprint. Documents keep a fingerprint only where it changes, join the
-benchmark's, and every hit is extended over the windows that can share it; these are compared
-word by word. Windows shorter than the full length (short items) are fingerprinted whole.
+window has an equal fingerprint. Fingerprints of documents join those of the benchmark, and every
+hit is extended to its window, compared by the hashes of all its words. Windows shorter than the
+full length (short items) are fingerprinted whole.
 """
 
 from __future__ import annotations
@@ -30,48 +30,59 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), _BREAKS), "")
 
 
-def _lower(text: Column) -> Column:
-    """A-Z only, so that other letters keep their case."""
-    return F.translate(text, _UPPER, _UPPER.lower())
+def _exact_lower(word: Column) -> Column:
+    """A-Z only, so that other letters keep their case; lower() is quicker where it is the same."""
+    plain = F.length(word) == F.octet_length(word)
+    return F.when(plain, F.lower(word)).otherwise(F.translate(word, _UPPER, _UPPER.lower()))
 
 
-def _hashed(frame: DataFrame) -> DataFrame:
-    """Adds codes: a hash per word. Lower-casing all letters finds more, which is checked later."""
-    return frame.withColumn("codes", F.transform("words", lambda w: F.xxhash64(F.lower(w))))
-
-
-def _gram(at: Column, length: int, codes: str = "codes") -> Column:
-    """A hash of `length` words from position `at`: their codes, each turned by its place."""
-    terms = []
-    for j in range(length):
-        code = F.get(F.col(codes), at + j)
+def _gram(codes: list[Column]) -> Column:
+    """A hash of consecutive words: their hashes, each turned by its place."""
+    out = None
+    for j, code in enumerate(codes):
         turn = 11 * j + 1
-        terms.append(
-            F.shiftleft(code, turn).bitwiseOR(F.shiftrightunsigned(code, 64 - turn))
-        )
-    out = terms[0]
-    for term in terms[1:]:
-        out = out.bitwiseXOR(term)
+        turned = F.shiftleft(code, turn).bitwiseOR(F.shiftrightunsigned(code, 64 - turn))
+        out = turned if out is None else out.bitwiseXOR(turned)
     return out
 
 
-def _fingerprint(at: Column, window: int, gram: int) -> Column:
-    if window == gram:
-        return _gram(at, gram)
-    return F.least(*[_gram(at + j, gram) for j in range(window - gram + 1)])
+def _windows(texts: DataFrame, size: int, gram: int) -> DataFrame:
+    """texts (with codes, a hash per word) by window: at, fp and own.
+
+    fp is the least hash of the window's grams, own a hash of all its words. A row carries the
+    window's own hashes only, so that it stays small however long the text is.
+    """
+    # no filter on the size: it would split the text a second time
+    number = F.greatest(F.lit(0), F.size("codes") - size + 1)
+    shifted = [F.slice("codes", j + 1, number).alias(f"c{j}") for j in range(size)]
+    zipped = texts.withColumn("zipped", F.arrays_zip(*shifted))
+    kept = [c for c in texts.columns if c != "codes"]
+    # outer, or a check for empty arrays would compute them twice; such rows have no window
+    rows = zipped.select(*kept, F.posexplode_outer("zipped").alias("at", "w"))
+    codes = [F.col(f"w.c{j}") for j in range(size)]
+    k = min(gram, size)
+    grams = [_gram(codes[j : j + k]) for j in range(size - k + 1)]
+    least = F.least(*grams) if len(grams) > 1 else grams[0]
+    # never null, or a join's null check would compute it twice
+    own = F.when(F.col("at").isNotNull(), F.xxhash64(*codes)).otherwise(F.lit(0))
+    return rows.select(*kept, "at", F.coalesce(least, F.lit(0)).alias("fp"), own.alias("own"))
+
+
+def _coded(frame: DataFrame, *kept) -> DataFrame:
+    words = frame.select(*kept, words_of(F.col("text")).alias("words"))
+    codes = F.transform("words", lambda w: F.xxhash64(_exact_lower(w)))
+    return words.select(*[c for c in words.columns if c != "words"], codes.alias("codes"))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(item_id, size, fp, span): the distinct windows of all items; span is their words."""
-    items = benchmark.select("item_id", words_of(_lower(F.col("text"))).alias("words"))
-    items = _hashed(items.filter(F.size("words") > 0)).withColumn(
-        "size", F.least(F.lit(window), F.size("words"))
-    )
-    rows = items.select("*", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("size"))).alias("at"))
-    sizes = {n: _fingerprint(F.col("at"), n, min(gram, n)) for n in range(1, window + 1)}
-    fp = F.coalesce(*[F.when(F.col("size") == n, e) for n, e in sizes.items()])
-    span = F.array_join(F.slice("words", F.col("at") + 1, F.col("size")), " ")
-    return rows.select("item_id", "size", fp.alias("fp"), span.alias("span")).distinct()
+    """(item_id, size, fp, own): the distinct windows of all items."""
+    items = _coded(benchmark, "item_id")
+    whole = _windows(items, window, gram).withColumn("size", F.lit(window))
+    for size in range(1, window):
+        short = items.filter(F.size("codes") == size)
+        whole = whole.unionByName(_windows(short, size, gram).withColumn("size", F.lit(size)))
+    whole = whole.filter("at is not null")
+    return whole.select("item_id", "size", "fp", "own").distinct()
 
 
 def window_hits(
@@ -80,46 +91,28 @@ def window_hits(
     """(doc_id, code, item_id, at, size): places of benchmark windows in documents, each once.
 
     at: the first word, from 0. code: a hash of the text, so that rows that share a doc_id but
-    not their text stay apart. Repeated rows give the same hits once per row.
+    not their text stay apart.
     """
-    found = benchmark_windows(benchmark, window, gram)
+    found = stored(benchmark_windows(benchmark, window, gram), "windows")
     # one small job: the sizes that occur, and how many windows there are
     sizes = {r["size"]: r["n"] for r in found.groupBy("size").agg(F.count("*").alias("n")).collect()}
     small = sum(sizes.values()) <= BROADCAST_WINDOWS
-    kept = F.broadcast if small else (lambda x: x)
-
-    texts = docs.select(
-        "doc_id", F.xxhash64("text").alias("code"), words_of(F.col("text")).alias("words")
-    )
-    codes = _hashed(texts)
-    at = F.col("at")
-    rows = codes.select("doc_id", "code", "words", "codes", F.posexplode("codes").alias("at", "_"))
-    inside = F.size("codes")
-    candidates = []
+    texts = _coded(docs, "doc_id", F.xxhash64("text").alias("code"))
+    every = None
     for size in sorted(sizes) or [window]:
-        own = rows.filter(at + size <= inside)
-        keys = found.filter(F.col("size") == size).select("fp").distinct()
-        k = min(gram, size)
-        now, reach = _fingerprint(at, size, k), size - k
-        if reach:
-            # the hash leaves with its k-gram: then a repeat of it counts as a new fingerprint
-            before = _fingerprint(at - 1, size, k)
-            gone = _gram(at - 1, k)
-            own = own.filter((at == 0) | (now != before) | (gone == before))
-        hits = own.withColumn("fp", now).join(kept(keys), "fp", "left_semi")
-        last = F.least(at + reach, F.size("words") - size)
-        windows = hits.select("doc_id", "code", "words", F.explode(F.sequence(at, last)).alias("at"))
-        span = _lower(F.array_join(F.slice("words", at + 1, size), " "))
-        candidates.append(
-            windows.select("doc_id", "code", "at", F.lit(size).alias("size"), span.alias("span"))
-        )
-    every = candidates[0]
-    for more in candidates[1:]:
-        every = every.unionByName(more)
-    spans = found.select("size", "span", "item_id")
-    return every.join(kept(spans), ["size", "span"]).select(
-        "doc_id", "code", "item_id", "at", "size"
-    ).distinct()
+        own = found.filter(F.col("size") == size)
+        windows = _windows(texts, size, gram)
+        if small:
+            # fingerprints that the benchmark shares, then the windows behind them
+            hits = windows.join(F.broadcast(own), ["fp", "own"])
+        else:
+            marks = windows.select("doc_id", "code", "fp").distinct()
+            marks = marks.join(own.select("fp").distinct(), "fp", "left_semi")
+            again = windows.join(marks, ["doc_id", "code", "fp"], "left_semi")
+            hits = again.join(own, ["fp", "own"])
+        hits = hits.filter("at is not null").select("doc_id", "code", "item_id", "at", "size")
+        every = hits if every is None else every.unionByName(hits)
+    return every.distinct()
 
 
 def decontaminate(
