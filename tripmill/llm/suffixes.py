@@ -22,8 +22,10 @@ LENGTH = 400
 GRAM = 64
 #: Suffixes are told apart by quicksort up to here, by blind tries beyond.
 SHALLOW = 128
-#: Members of a group that one task sorts (a few MB).
-GROUP = 5000
+#: Members of a group that one task sorts (some 30 MB of contexts).
+GROUP = 50_000
+#: Groups of up to so many different contexts are resolved pair by pair, larger ones by distance.
+PAIRED = 64
 #: Periods up to here are looked for where anchors lie closer than usual.
 PERIOD = 32
 NULL_ID = -(1 << 63)
@@ -247,15 +249,19 @@ def group_repeats(members: list[tuple[bytes, int, int]], length: int = LENGTH) -
     left, back = (np.array([m[i] for m in distinct]) for i in (1, 2))
     often = np.array([len(held) > 1 for held in known.values()])
     span = np.arange(int(back.min()), int(left.max()) + 1)
-    twice = np.zeros((n, len(span)), dtype=bool)
-    for column, distance in enumerate(span):
+    if n <= PAIRED:
+        twice = _by_pairs(ranks, left, back, span, length)
+        twice |= often[:, None] & (back[:, None] <= span) & (span <= left[:, None])
+    else:
+        twice = np.zeros((n, len(span)), dtype=bool)
         (right_place, right_steps), (left_place, left_steps) = ranks
-        alike_right = np.cumsum(right_steps < length - distance)[right_place]
-        alike_left = np.cumsum(left_steps < distance)[left_place]
-        here = np.flatnonzero((back <= distance) & (distance <= left))
-        keys = alike_right[here] * (n + 1) + alike_left[here]
-        _, which, times = np.unique(keys, return_inverse=True, return_counts=True)
-        twice[here, column] = (times[which] > 1) | often[here]
+        for column, distance in enumerate(span):
+            alike_right = np.cumsum(right_steps < length - distance)[right_place]
+            alike_left = np.cumsum(left_steps < distance)[left_place]
+            here = np.flatnonzero((back <= distance) & (distance <= left))
+            keys = alike_right[here] * (n + 1) + alike_left[here]
+            _, which, times = np.unique(keys, return_inverse=True, return_counts=True)
+            twice[here, column] = (times[which] > 1) | often[here]
     for row, held in zip(twice, known.values()):
         edges = np.flatnonzero(np.diff(np.concatenate([[0], row.view(np.int8), [0]])))
         runs = [(int(span[a]), int(span[b - 1])) for a, b in zip(edges[::2], edges[1::2])]
@@ -264,6 +270,30 @@ def group_repeats(members: list[tuple[bytes, int, int]], length: int = LENGTH) -
     return out
 
 
+def _by_pairs(ranks, left, back, span, length: int):
+    """Per member and distance, whether another one has the same window, from common prefixes:
+    of two suffixes, the least step between their places in the order."""
+    import numpy as np
+
+    n = len(left)
+    shared = []
+    for place, steps in ranks:
+        common_ = np.zeros((n, n), dtype=np.int64)
+        for k in range(n - 1):
+            common_[k, k + 1 :] = np.minimum.accumulate(steps[k + 1 :])
+        common_ = np.maximum(common_, common_.T)
+        shared.append(common_[np.ix_(place, place)])
+    low = np.maximum(np.maximum(back[:, None], back[None, :]), length - shared[0])
+    high = np.minimum(np.minimum(left[:, None], left[None, :]), shared[1])
+    np.fill_diagonal(low, length)
+    np.fill_diagonal(high, -1)
+    one, other = np.nonzero(low <= high)
+    turns = np.zeros((n, len(span) + 1), dtype=np.int32)
+    np.add.at(turns, (one, low[one, other] - span[0]), 1)
+    np.add.at(turns, (one, high[one, other] + 1 - span[0]), -1)
+    return np.cumsum(turns, axis=1)[:, :-1] > 0
+
+
 # ---- plan
 
 ANCHORS = "h bigint, id bigint, code bigint, place bigint"
