@@ -107,8 +107,12 @@ def window_hits(
             hits = windows.join(F.broadcast(own), ["fp", "own"])
         else:
             marks = windows.select("doc_id", "code", "fp").distinct()
-            marks = marks.join(own.select("fp").distinct(), "fp", "left_semi")
-            again = windows.join(marks, ["doc_id", "code", "fp"], "left_semi")
+            marks = marks.join(own.select("fp").distinct(), "fp", "left_semi").select(
+                *[F.col(c).alias(f"_{c}") for c in ("doc_id", "code", "fp")]
+            )
+            met = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+            met &= (F.col("code") == F.col("_code")) & (F.col("fp") == F.col("_fp"))
+            again = windows.join(marks, met, "left_semi")
             hits = again.join(own, ["fp", "own"])
         hits = hits.filter("at is not null").select("doc_id", "code", "item_id", "at", "size")
         every = hits if every is None else every.unionByName(hits)

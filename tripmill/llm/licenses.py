@@ -63,8 +63,8 @@ FAMILIES = [
 FORMS = [
     (r"spdx license identifier {name} {version}", 1.0, True),
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?"
-     r"{name}(?: international)?(?: licen[cs]e)?(?: (?:version|v))? {version}", 0.98, True),
-    (r"{name}(?: licen[cs]e)?(?: (?:version|v))? {version}(?: international)?(?: licen[cs]e)?", 0.9, True),
+     r"{name}(?: international)?(?: licen[cs]e)?(?: version)? v?{version}", 0.98, True),
+    (r"{name}(?: licen[cs]e)?(?: version)? v?{version}(?: international)?(?: licen[cs]e)?", 0.9, True),
     (r"spdx license identifier {name}", 0.95, False),
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?"
      r"{name}(?: licen[cs]e)?", 0.85, False),

@@ -6,7 +6,8 @@ windows have equal anchors at equal offsets, so all repeats of a window meet whe
 hash is shared. There the texts right of the anchor are ordered deep-shallow (multikey quicksort
 to a shallow depth, blind tries below it), and those left of it, read backwards, as well; common
 prefixes of the two orders tell which windows occur twice. Anchors whose hash occurs too often for
-one task take another way: their windows are counted one by one.
+one task are grouped again by the half window on either side; halves that are still too frequent
+have their windows counted one by one.
 """
 
 from __future__ import annotations
@@ -385,8 +386,33 @@ def _group_runs(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(sort, RUNS)
 
 
+def _halves(joined: DataFrame, length: int) -> DataFrame:
+    """Anchors of frequent hashes under finer ones: equal windows agree in the half to the right
+    of the anchor or in the half to its left, whichever they reach over."""
+    half = length // 2
+
+    def cut(batches):
+        for batch in batches:
+            rows = []
+            for i, code, text, found in _placed(batch):
+                for h, pos, left, back in found:
+                    sides = (
+                        (b"r", text[pos : pos + half], min(left, half), back),
+                        (b"l", text[max(pos - half, 0) : pos], left, max(back, half + 1)),
+                    )
+                    for side, own, far, near in sides:
+                        if near <= far:
+                            key = h.to_bytes(8, "little", signed=True)
+                            digest = hashlib.blake2b(side + key + own, digest_size=8).digest()
+                            finer = int.from_bytes(digest, "little", signed=True)
+                            rows.append((finer, i, code, pos << 24 | far << 12 | near))
+            yield arrow_rows(rows, ANCHORS)
+
+    return joined.mapInArrow(cut, ANCHORS)
+
+
 def _window_runs(joined: DataFrame, length: int) -> DataFrame:
-    """The way of frequent anchors: a row per window, counted by a hash of its bytes."""
+    """The way of halves that are still too frequent: a row per window, counted by its hash."""
 
     def cut(batches):
         for batch in batches:
@@ -409,13 +435,8 @@ def _window_runs(joined: DataFrame, length: int) -> DataFrame:
 def repeated_runs(texts: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """(id, code, start, end): bytes covered by repeated strings; runs may overlap."""
     rows = stored(_anchor_rows(texts, length), "anchors")
-    found = rows.filter("place >= 0")
-    often = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
-    # the anchors' number, not their contexts, decides the way a hash takes
-    most = stored(often, "often")
-    greatest = most.agg(F.max("k")).first()[0] or 0
 
-    def joined(hashes: DataFrame) -> DataFrame:
+    def joined(found: DataFrame, hashes: DataFrame) -> DataFrame:
         per_text = (
             found.join(hashes.select("h"), "h")
             .groupBy("id", "code")
@@ -424,9 +445,22 @@ def repeated_runs(texts: DataFrame, length: int = LENGTH, group: int = GROUP) ->
         )
         return texts.join(per_text, ["id", "code"])
 
-    runs = _group_runs(_contexts(joined(most.filter(F.col("k") <= group)), length), length)
-    if greatest > group:
-        runs = runs.unionByName(_window_runs(joined(most.filter(F.col("k") > group)), length))
+    def resolve(found: DataFrame, beyond) -> DataFrame:
+        """Runs of all groups of up to `group` members here, of the others by `beyond`."""
+        often = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
+        often = stored(often, "often")
+        greatest = often.agg(F.max("k")).first()[0] or 0
+        cold = joined(found, often.filter(F.col("k") <= group))
+        runs = _group_runs(_contexts(cold, length), length)
+        if greatest > group:
+            runs = runs.unionByName(beyond(joined(found, often.filter(F.col("k") > group))))
+        return runs
+
+    def by_halves(hot: DataFrame) -> DataFrame:
+        halves = stored(_halves(hot, length), "halves")
+        return resolve(halves, lambda still_hot: _window_runs(still_hot, length))
+
+    runs = resolve(rows.filter("place >= 0"), by_halves)
     stretches = rows.filter("place < 0")
     return runs.unionByName(
         stretches.select("id", "code", F.col("h").alias("start"), (-F.col("place")).alias("end"))
