@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tripmill.operators import features, models
 from tripmill.operators.features import CATEGORICAL, feature_pipeline
 from tripmill.plans.queries import RULES
-from tripmill.plans.training import FULL_GRIDS, score, score_csv, train
+from tripmill.plans.training import CHOICES, FULL_GRIDS, score, score_csv, train
 from tripmill.sources.sinks import load_model, save_model
 from tripmill.sources.trips import write_trips_csv
 
@@ -27,7 +27,7 @@ def encoded(trips):
 
 @pytest.fixture(scope="module")
 def tree(trips):
-    return train(trips, "dt", RULES, threshold=1200)
+    return train(trips, "dt", RULES, params=CHOICES["dt"], threshold=1200)
 
 
 def prediction_rows(df):
@@ -131,7 +131,7 @@ def test_training_predicts_the_clean_test_side(trips, kind):
     from tripmill.operators.clean import clean
     from tripmill.operators.split import hash_split
 
-    trained = train(trips, kind, RULES)
+    trained = train(trips, kind, RULES, params=CHOICES[kind])
     expected = clean(hash_split(trips)[1], RULES)
     assert trained.predictions.count() == expected.count()
     assert {r["metric"] for r in trained.metrics.collect()} >= {"error_rate", "auc_roc", "auc_pr"}
@@ -139,7 +139,7 @@ def test_training_predicts_the_clean_test_side(trips, kind):
 
 
 def test_random_split_training(trips):
-    trained = train(trips, "dt", RULES, split="random", threshold=1200)
+    trained = train(trips, "dt", RULES, params=CHOICES["dt"], split="random", threshold=1200)
     assert 200 < trained.predictions.count() < 450
 
 
@@ -187,15 +187,15 @@ def test_a_file_of_long_trips_is_labelled_long(trips, tree):
 
 def test_unseen_category_fails_or_is_kept(trips):
     odd = trips.withColumn("store_and_fwd_flag", F.lit("Z"))
-    strict = train(trips, "dt", RULES, threshold=1200)
+    strict = train(trips, "dt", RULES, params=CHOICES["dt"], threshold=1200)
     with pytest.raises(Exception, match="(?i)unseen label"):
         score(odd, strict.model, RULES).predictions.collect()
-    lenient = train(trips, "dt", RULES, threshold=1200, handle_invalid="keep")
+    lenient = train(trips, "dt", RULES, params=CHOICES["dt"], threshold=1200, handle_invalid="keep")
     assert score(odd, lenient.model, RULES).predictions.count() > 0
 
 
 def test_encoders_are_fitted_on_training_rows_only(make_trips):
     start = datetime(2016, 3, 1)
     rows = [{"pickup_datetime": start + timedelta(hours=7 * i)} for i in range(120)]
-    trained = train(make_trips(rows), "dt", threshold=1200)
+    trained = train(make_trips(rows), "dt", params=CHOICES["dt"], threshold=1200)
     assert any(isinstance(s, OneHotEncoderModel) for s in trained.model.stages)

@@ -167,3 +167,11 @@ def test_profile_scans_read_only_their_column(spark):
         plan = queries()[name](spark, PLAN_DIR)._jdf.queryExecution().toString()
         schemas = {part.split(">")[0] for part in plan.split("ReadSchema: struct<")[1:]}
         assert schemas - {""} == {columns}, (name, schemas)  # "" only counts rows
+
+
+def test_grid_lines_keep_three_fields_without_a_coordinate(spark, tmp_path):
+    rows = [(40.75, None, 1), (None, -73.98, 2), (None, None, 3)]
+    path = str(tmp_path / "grid")
+    sinks.write_grid(spark.createDataFrame(rows, "lat double, lon double, n bigint"), path)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert sorted(x.replace('""', "") for x in lines) == [",,3", ",-73.98,2", "40.75,,1"]

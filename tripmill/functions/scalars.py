@@ -18,11 +18,6 @@ def weekday(ts: Column | str) -> Column:
     return F.dayofweek(ts).cast("string")
 
 
-def day_string(ts: Column | str) -> Column:
-    """Calendar day as yyyy-MM-dd in the session time zone."""
-    return F.date_format(ts, "yyyy-MM-dd")
-
-
 def duration_class(duration: Column | str, threshold: float) -> Column:
     """'short' below the threshold, otherwise 'long' (equality and null are long)."""
     duration = F.col(duration) if isinstance(duration, str) else duration

@@ -22,7 +22,7 @@ from tripmill.operators.features import (
     split_datetime,
     string_indexer,
 )
-from tripmill.plans.training import score, train
+from tripmill.plans.training import CHOICES, score, train
 from tripmill.session import tune
 from tripmill.sources import sinks
 from tripmill.sources.scratch import scratch_dir
@@ -44,8 +44,7 @@ CLIP = {"column": "dropoff_longitude", "lo": -73.95, "hi": -73.85}
 TOP_CELLS = 10
 LOW_VOLUME_FRACTION = 0.95
 # two settings of each kind: the full grids are models.BAYES_GRID and models.FOREST_GRID
-SMALL_BAYES_GRID = {"modelType": ["multinomial", "complement"], "smoothing": [1.0, 100.0]}
-SMALL_FOREST_GRID = {
+FOUR_FORESTS = {
     "maxBins": [10],
     "maxDepth": [3, 5],
     "numTrees": [3, 5],
@@ -513,12 +512,12 @@ def dt_grid(spark, sf_dir):
 
 @_register
 def dt_score(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "dt", RULES).metrics
+    return train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"]).metrics
 
 
 @_register
 def dt_score_without_dropoff_time(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "dt", RULES, with_dropoff_time=False).metrics
+    return train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"], with_dropoff_time=False).metrics
 
 
 @_register
@@ -531,38 +530,38 @@ def nb_model(spark, sf_dir):
 
 @_register
 def nb_score(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "nb", RULES).confusion
+    return train(trips_raw(spark, sf_dir), "nb", RULES, params=CHOICES["nb"]).confusion
 
 
 @_register
 def nb_cv(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "nb", RULES, grid=SMALL_BAYES_GRID).tuning
+    return train(trips_raw(spark, sf_dir), "nb", RULES).tuning
 
 
 @_register
 def rf_model(spark, sf_dir):
-    trained = train(trips_raw(spark, sf_dir), "rf", RULES)
+    trained = train(trips_raw(spark, sf_dir), "rf", RULES, params=CHOICES["rf"])
     return models.feature_importance(spark, trained.model)
 
 
 @_register
 def rf_score(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "rf", RULES).metrics
+    return train(trips_raw(spark, sf_dir), "rf", RULES, params=CHOICES["rf"]).metrics
 
 
 @_register
-def rf_cv(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "rf", RULES, grid=SMALL_FOREST_GRID).tuning
+def rf_cv_four_settings(spark, sf_dir):
+    return train(trips_raw(spark, sf_dir), "rf", RULES, grid=FOUR_FORESTS).tuning
 
 
 @_register
 def model_rules(spark, sf_dir):
-    trained = train(trips_raw(spark, sf_dir), "dt", RULES)
+    trained = train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"])
     return models.model_rules(spark, trained.model)
 
 
 @_register
 def save_load_score(spark, sf_dir):
     path = scratch_dir(spark, "model")
-    sinks.save_model(train(trips_raw(spark, sf_dir), "dt", RULES).model, path)
+    sinks.save_model(train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"]).model, path)
     return score(trips_raw(spark, sf_dir), path, RULES).confusion

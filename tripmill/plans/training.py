@@ -34,6 +34,7 @@ from tripmill.sources.trips import read_trips_csv
 
 KINDS = ("dt", "nb", "rf")
 FULL_GRIDS = {"dt": TREE_SETTINGS, "nb": BAYES_GRID, "rf": FOREST_GRID}
+CHOICES = {"dt": TREE_CHOICE, "nb": BAYES_CHOICE, "rf": FOREST_CHOICE}
 
 
 @dataclass
@@ -61,6 +62,7 @@ def train(
     rules: CleanRules = CleanRules(),
     threshold: float | str | None = None,
     grid=None,
+    params=None,
     folds: int = FOLDS,
     split: str = "hash",
     with_dropoff_time: bool = True,
@@ -71,12 +73,15 @@ def train(
 
     kind: "dt", "nb" or "rf". threshold: seconds from which a trip is long, or "median" for the
     median of the clean training side (the default for "dt"). grid: settings to compare before
-    the final fit (FULL_GRIDS[kind] for all of them); without one the known choice is fitted.
-    For "nb" and "rf" a grid also decides the final setting, for "dt" it is only reported.
+    the final fit, FULL_GRIDS[kind] by default. For "nb" and "rf" the grid also decides the final
+    setting, for "dt" it is only reported. params: one setting to fit instead, without tuning,
+    such as CHOICES[kind].
     split: "hash" (by id) or "random" (Spark's sampler, seed 0).
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
+    if grid is None and params is None:
+        grid = FULL_GRIDS[kind]
     tune(trips.sparkSession)
     sides = hash_split(trips) if split == "hash" else random_split(trips)
     train_side, test_side, loss = clean_split(*sides, rules)
@@ -92,21 +97,21 @@ def train(
         handle_invalid=handle_invalid,
     ).fit(train_side)
     with cached(encoder.transform(train_side)) as encoded:
-        fitted, tuning = _fit(encoded, kind, grid, folds, parallelism)
+        fitted, tuning = _fit(encoded, kind, grid, params, folds, parallelism)
     model = PipelineModel(encoder.stages + [fitted])
     predictions = model.transform(test_side).select("id", "probability", "prediction", "label")
     return Trained(model, threshold, loss, predictions, tuning)
 
 
-def _fit(encoded: DataFrame, kind: str, grid, folds: int, parallelism: int):
+def _fit(encoded: DataFrame, kind: str, grid, params, folds: int, parallelism: int):
     if kind == "dt":
         tuning = compare_trees(encoded, grid, parallelism) if grid else None
-        return decision_tree(*TREE_CHOICE).fit(encoded), tuning
-    if grid:
+        return decision_tree(*(params or TREE_CHOICE)).fit(encoded), tuning
+    if params is None:
         estimator = naive_bayes() if kind == "nb" else random_forest()
         tuned = cross_validate(estimator, grid, encoded, folds, parallelism)
         return tuned.bestModel, tuning_table(encoded.sparkSession, tuned)
-    chosen = naive_bayes(**BAYES_CHOICE) if kind == "nb" else random_forest(**FOREST_CHOICE)
+    chosen = naive_bayes(**params) if kind == "nb" else random_forest(**params)
     return chosen.fit(encoded), None
 
 

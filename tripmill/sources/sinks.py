@@ -33,8 +33,8 @@ def write_histogram(histogram: DataFrame, base: str) -> None:
 
 def write_grid(grid: DataFrame, path: str) -> None:
     """Density cells as bare 'lat,lon,count' lines, densest first over all parts."""
-    lines = grid.orderBy(F.desc("n"), "lat", "lon").select(F.concat_ws(",", "lat", "lon", "n"))
-    lines.write.mode("overwrite").text(path)
+    cells = grid.orderBy(F.desc("n"), "lat", "lon").select("lat", "lon", "n")
+    cells.write.mode("overwrite").csv(path)  # a missing coordinate stays an empty field
 
 
 def write_matrix(matrix: DataFrame, base: str) -> None:
