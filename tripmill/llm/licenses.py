@@ -7,7 +7,9 @@ a detection that lies inside the interval of a kept one is suppressed.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import re
 from typing import NamedTuple
 
@@ -134,13 +136,23 @@ GATES = (b"licen", b"copyright", b"rights reserved", b"public domain", b"hereby
 def detections(text: bytes) -> list[tuple[int, int, str, float]]:
     """(start, end, label, weight) kept by priority and containment; text is ' word word '."""
     kept: list[tuple[int, int, str, float]] = []
+    # outermost intervals by start; none contains another, so their ends ascend too
+    starts: list[int] = []
+    ends: list[int] = []
     for rule in rules():
         if not any(k in text for k in rule.keywords):
             continue
         for m in rule.pattern.finditer(text):
             start, end = m.start() + 1, m.end()
-            if not any(a <= start and end <= b for a, b, _, _ in kept):
-                kept.append((start, end, rule.label, rule.weight))
+            at = bisect.bisect_right(starts, start)
+            if at and end <= ends[at - 1]:
+                continue
+            kept.append((start, end, rule.label, rule.weight))
+            # those that the new one contains cannot suppress anything that it does not
+            first = bisect.bisect_left(starts, start)
+            last = bisect.bisect_right(ends, end)
+            starts[first : max(first, last)] = [start]
+            ends[first : max(first, last)] = [end]
     return kept
 
 
@@ -192,11 +204,13 @@ def _scan_words(words: list[bytes]) -> tuple:
     found = detections(text)
     if not base and not found:
         return _NOTHING
-    # counting blanks up to a byte gives its word
-    at = [text.count(b" ", 0, start) - 1 for start, _ in base]
+    # the number of the word that starts at a byte, and of the one after a word's last byte
+    word_starts = list(itertools.accumulate((len(w) + 1 for w in words), initial=1))
+    at = [bisect.bisect_left(word_starts, start) for start, _ in base]
     labels = {label for _, label in base}
     spans = sorted(
-        (text.count(b" ", 0, a) - 1, text.count(b" ", 0, b), label) for a, b, label, _ in found
+        (bisect.bisect_left(word_starts, a), bisect.bisect_left(word_starts, b), label)
+        for a, b, label, _ in found
     )
     score = max([w for *_, w in found] + [0.7] * bool(base))
     return (

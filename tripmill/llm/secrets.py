@@ -30,13 +30,15 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 #: Tokens that may be credentials; they must hold a digit.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: Tokens without a digit, examples of what is no credential.
+ORDINARY = re.compile(r"[A-Za-z.-]{16,}")
 #: Labelled credentials of each kind, and ordinary tokens, that automata are fitted to.
 SAMPLE = 500
 #: Confidence of the compatibility test of two states.
 ALPHA = 0.05
 #: A format counts from this log-likelihood ratio per character on.
 THRESHOLD = 0.5
-#: Characters of a token that are scored and learned; formats repeat within fewer.
+#: Characters of an example that are learned; formats repeat within fewer. Scores read whole tokens.
 SCORED = 256
 
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -74,7 +76,7 @@ def candidates(text: str, raw: bytes) -> list[tuple[int, int]]:
 
 def symbols(token: str) -> str:
     """Character classes: 0 digit, a hex letter, l other letter, A and L in upper case, or itself."""
-    return token[:SCORED].translate(_CLASSES)
+    return token.translate(_CLASSES)
 
 
 _CLASSES = {
@@ -217,7 +219,8 @@ def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 rows |= {(kind, token[:SCORED]) for _, kind, _, token in base}
                 if not base:
                     rows |= {("", text[a:b][:SCORED]) for a, b in candidates(text, raw)}
-                    rows |= {("", w) for w in re.findall(r"[A-Za-z.-]{16,}", text[:2000])[:1]}
+                    if plain := ORDINARY.search(text):
+                        rows.add(("", plain[0][:SCORED]))
             yield arrow_rows(sorted(rows), EXAMPLES)
 
     tokens = docs.mapInArrow(find, EXAMPLES).distinct()

@@ -16,8 +16,8 @@ from tripmill.llm.common import arrow_rows, documents, utf8
 
 #: Words whose counts a task remembers from one batch to the next.
 REMEMBERED = 500_000
-#: Longer words are counted in runs of so many characters: the best cut of each run alone.
-RUN = 4096
+#: Longer words are counted whole as well, but not remembered.
+LONG = 4096
 MARK = "▁"
 
 
@@ -107,8 +107,9 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 new = {w for _, words in split for w in words if w not in known}
                 known.update(count_words(list(new), v))
                 for i, code, (size, words) in zip(ids[at : at + 500], codes[at : at + 500], split):
-                    n_words = sum(w[0] == MARK for w in words)
-                    rows.append((i, code, size, n_words, sum(map(known.__getitem__, words))))
+                    rows.append((i, code, size, len(words), sum(map(known.__getitem__, words))))
+                for word in [w for w in new if len(w) > LONG]:
+                    del known[word]
             yield arrow_rows(rows, COUNTED)
 
     texts = documents(docs).withColumn("code", F.xxhash64("text"))
@@ -116,14 +117,4 @@ def count_tokens(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
 
 def _words(text: bytes) -> list[str]:
-    out = []
-    for word in text.decode("utf-8", "replace").translate(_SEPARATORS).split("\x00"):
-        if word:
-            marked = MARK + word
-            out += [marked] if len(marked) <= RUN else [
-                marked[a : a + RUN] for a in range(0, len(marked), RUN)
-            ]
-    return out
-
-
-_SEPARATORS = {c: "\x00" for c in b"\x20\t\n\x0b\x0c\r"}
+    return [MARK + word.decode("utf-8", "replace") for word in text.split()]
