@@ -165,3 +165,16 @@ def test_error_rate_compares_numbers_not_digits(spark):
 def test_no_predictions(spark):
     df = spark.createDataFrame([], "label double, prediction double")
     assert metrics.error_rate(df).head()["error_rate"] is None
+
+
+def test_both_areas_come_from_one_sliced_aggregation(spark):
+    rows = [(i % 7 / 7, float(i % 3 == 0)) for i in range(60)]
+    scored = spark.createDataFrame(rows, "prediction double, label double")
+    both = metrics.areas(scored).head()
+    one = metrics.areas(scored, slices=1).head()
+    assert abs(both["auc_roc"] - one["auc_roc"]) < 1e-12
+    assert abs(both["auc_pr"] - one["auc_pr"]) < 1e-12
+    # scores named prediction are sliced too: every window over them has a partition
+    plan = metrics.roc_curve(scored)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window" in line and "row_number" in line]
+    assert windows and all("[slice#" in line for line in windows)

@@ -42,13 +42,8 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, con):
 @pytest.mark.parametrize(
     "name, columns, rows",
     [
-        ("dt_grid", ["impurity", "max_depth", "max_bins", "n_valid", "error_rate"], 10),
         ("nb_cv", ["params", "avg_auc", "std_auc", "chosen"], 6),
         ("rf_cv_four_settings", ["params", "avg_auc", "std_auc", "chosen"], 4),
-        ("rf_model", ["feature", "importance"], 21),
-        ("rf_score", ["metric", "value"], 7),
-        ("dt_score", ["metric", "value"], 7),
-        ("dt_score_without_dropoff_time", ["metric", "value"], 7),
     ],
 )
 def test_model_queries_have_their_shape(spark, name, columns, rows):

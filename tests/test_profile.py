@@ -161,3 +161,23 @@ def test_shares_add_up(trips):
 
 def test_preview_has_twenty_rows(trips):
     assert profile.preview(trips).count() == 20
+
+
+def test_correlation_pairs_leave_out_their_own_nulls_only(spark):
+    from tripmill.operators.correlation import correlation_pairs, pearson
+
+    rows = [(1.0, 2.0, None), (2.0, None, 5.0), (3.0, 1.0, 4.0), (5.0, 7.0, 1.0), (None, 3.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    for r in correlation_pairs(df, ["a", "b", "c"]).collect():
+        assert abs(r["corr"] - pearson(df, r["row"], r["col"]).head()[0]) < 1e-12
+
+
+def test_histogram_skips_infinite_values(spark):
+    values = [(float("inf"),), (float("-inf"),), (float("nan"),), (1.0,), (2.0,), (3.0,)]
+    found = profile.histogram(spark.createDataFrame(values, "x double"), "x", 4).collect()
+    assert [r["n"] for r in found] == [1, 0, 1, 1] and (found[0]["lo"], found[-1]["hi"]) == (1, 3)
+
+
+def test_median_of_no_rows_says_so(trips):
+    with pytest.raises(ValueError):
+        profile.approx_median(trips.limit(0), "trip_duration")

@@ -33,7 +33,7 @@ def pearson(df: DataFrame, a: str, b: str) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """(row, col, corr) for all ordered pairs; null where a column is constant.
 
-    Rows with a null in any of the columns are left out.
+    A pair leaves out the rows where one of its two columns is null, like pearson.
     """
     entries = ", ".join(
         f"struct('{a}' as row, '{b}' as col, r{min(i, j)}_{max(i, j)} as corr)"
@@ -53,23 +53,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORRELATED) -> Da
 
 
 def _coefficients(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with r<i>_<j>, the correlation of columns i and j, for i <= j.
+    """One row with r<i>_<j>, the correlation of columns i and j, for i <= j, from one pass.
 
-    A first pass finds the means, a second sums the products of the centred columns: plain sums,
-    several times cheaper per row than as many running co-moments, and as exact. Each unordered
-    pair is summed once.
+    Every unordered pair has its own co-moment and deviations over the rows where both of its
+    columns are present, as in pearson.
     """
-    n = range(len(columns))
-    pairs = list(combinations_with_replacement(n, 2))
-    complete = df.selectExpr(*[f"cast(`{c}` as double) as x{i}" for i, c in enumerate(columns)])
-    complete = complete.dropna()
-    facts = ", ".join(f"avg(x{i}) as m{i}, min(x{i}) < max(x{i}) as v{i}" for i in n)
-    first = complete.selectExpr(f"struct({facts})").scalar()
-    centred = complete.withColumn("m", first).selectExpr(*[f"x{i} - m.m{i} as d{i}" for i in n])
-    sums = centred.selectExpr(*[f"sum(d{i} * d{j}) as s{i}_{j}" for i, j in pairs])
+    values = df.selectExpr(*[f"cast(`{c}` as double) as x{i}" for i, c in enumerate(columns)])
 
     def coefficient(i: int, j: int) -> str:
-        ratio = "1D" if i == j else f"try_divide(s{i}_{j}, sqrt(s{i}_{i}) * sqrt(s{j}_{j}))"
-        return f"case when m.v{i} and m.v{j} then {ratio} end as r{i}_{j}"
-
-    return sums.withColumn("m", first).selectExpr(*[coefficient(i, j) for i, j in pairs])
+        if i == j:
+            return f"case when min(x{i}) < max(x{i}) then 1D end as r{i}_{i}"
+        spread = " * ".join(
+            f"stddev_pop(case when x{b} is not null then x{a} end)" for a, b in ((i, j), (j, i))
+        )
+        return f"try_divide(covar_pop(x{i}, x{j}), {spread}) as r{i}_{j}"
+
+    pairs = combinations_with_replacement(range(len(columns)), 2)
+    return values.selectExpr(*[coefficient(i, j) for i, j in pairs])

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 200
-
 
 def error_rate(predictions: DataFrame) -> DataFrame:
     """(n_total, n_wrong, error_rate)."""
@@ -140,9 +138,9 @@ def running_counts(counts: DataFrame, slices: int = 1) -> DataFrame:
 
 
 def _curve_points(predictions: DataFrame, score: str, slices: int | None) -> DataFrame:
-    # a hard prediction has one score per class; any other score may have one per row
+    # a score may differ in every row, so there are as many slices as a shuffle has partitions
     if slices is None:
-        slices = 1 if score == "prediction" else SLICES
+        slices = max(2, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return running_counts(score_counts(predictions, score), slices)
 
 
@@ -171,13 +169,7 @@ def auc_roc(
     predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:
     """(auc_roc): trapezoid area under roc_curve."""
-    # a step's start is the point less its own counts, so no neighbour is looked up
-    step = F.col("neg") * (F.col("tp") * 2 - F.col("pos")) / 2
-    return (
-        _curve_points(predictions, score, slices)
-        .agg(F.sum(step).alias("area"), F.max(F.col("p") * F.col("n")).alias("whole"))
-        .select(F.try_divide("area", "whole").alias("auc_roc"))
-    )
+    return areas(predictions, score, slices).select("auc_roc")
 
 
 def pr_curve(
@@ -201,11 +193,28 @@ def auc_pr(
     predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:
     """(auc_pr): trapezoid area under pr_curve."""
+    return areas(predictions, score, slices).select("auc_pr")
+
+
+def areas(
+    predictions: DataFrame, score: str = "prediction", slices: int | None = None
+) -> DataFrame:
+    """(auc_roc, auc_pr): both areas from one aggregation of the curve's points."""
     tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
+    # a step's start is the point less its own counts, so no neighbour is looked up
+    step = neg * (tp * 2 - pos) / 2
     precision = F.try_divide(tp, tp + fp)
     before = F.coalesce(F.try_divide(tp - pos, (tp - pos) + (fp - neg)), precision)
     return (
         _curve_points(predictions, score, slices)
-        .agg(F.sum(pos * (precision + before) / 2).alias("area"), F.max("p").alias("p"))
-        .select(F.try_divide("area", "p").alias("auc_pr"))
+        .agg(
+            F.sum(step).alias("roc"),
+            F.sum(pos * (precision + before) / 2).alias("pr"),
+            F.max("p").alias("p"),
+            F.max("n").alias("n"),
+        )
+        .select(
+            F.try_divide(F.col("roc"), F.col("p") * F.col("n")).alias("auc_roc"),
+            F.try_divide("pr", "p").alias("auc_pr"),
+        )
     )

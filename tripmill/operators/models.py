@@ -145,9 +145,12 @@ def cross_validate(
 ) -> CrossValidatorModel:
     """Cross-validated choice from a grid by area under ROC; bestModel is refitted on all data.
 
-    Every fold and the final fit read the features, so they are kept meanwhile. Folds come from
-    the row key, so a recomputed partition lands in the same fold.
+    Every fold and the final fit read the features, so they are kept meanwhile, with their fold
+    (a frame with a column fold keeps its own). Folds come from the row key, so a recomputed
+    partition lands in the same fold.
     """
+    if "fold" not in data.columns:
+        data = with_fold(data, folds)
     validator = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=param_grid(estimator, grid),
@@ -158,7 +161,7 @@ def cross_validate(
         seed=SEED,
     )
     with cached(data) as data:
-        return validator.fit(with_fold(data, folds))
+        return validator.fit(data)
 
 
 def tuning_table(spark, tuned: CrossValidatorModel) -> DataFrame:

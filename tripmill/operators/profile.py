@@ -30,15 +30,11 @@ def frequency(df: DataFrame, column: str) -> DataFrame:
 def frequency_share(df: DataFrame, column: str) -> DataFrame:
     """(tag, n, pct): frequency with each value's percentage of all rows.
 
-    The total is a row count of the source, which a columnar scan answers without reading a column.
+    The total is summed over the grouped rows, whose exchange both uses share.
     """
-    total = df.agg(F.count("*")).scalar()
-    return (
-        df.groupBy(F.col(column).alias("tag"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("pct", F.col("n") * F.lit(100.0).cast("double") / total)
-        .orderBy("tag")
-    )
+    counts = df.groupBy(F.col(column).alias("tag")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", F.col("n") * F.lit(100.0).cast("double") / total).orderBy("tag")
 
 
 def frequency_preview(df: DataFrame, column: str, rows: int = PREVIEW_ROWS) -> DataFrame:
@@ -101,7 +97,8 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _usable(value: Column) -> Column:
-    return value.isNotNull() & ~F.isnan(value)
+    # false for NaN as well, which Spark orders above infinity
+    return value.isNotNull() & (F.abs(value) < F.lit(float("inf")))
 
 
 def _bounds(value: Column) -> Column:
@@ -156,7 +153,7 @@ def histogram(
 ) -> DataFrame:
     """(bucket, lo, hi, label, n) in bucket order: equal-width histogram, empty buckets included.
 
-    clip=(a, b) looks only at values from a to b. Nulls and NaN are skipped. One narrow pass
+    clip=(a, b) looks only at values from a to b. Nulls, NaN and infinities are skipped. One pass
     finds the bounds, a second counts; at most `bins` rows leave the counting.
     """
     values = df.select(F.col(column).cast("double").alias("x")).filter(_usable(F.col("x")))
@@ -201,7 +198,10 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS
 
 def approx_median(df: DataFrame, column: str, relative_error: float = 0.0001) -> float:
     """Approximate median of a numeric column, computed now (mergeable summaries per task)."""
-    return df.approxQuantile(column, [0.5], relative_error)[0]
+    found = df.approxQuantile(column, [0.5], relative_error)
+    if not found:
+        raise ValueError(f"no rows with a {column} to take a median of")
+    return found[0]
 
 
 def approx_median_frame(df: DataFrame, column: str, accuracy: int = 10000) -> DataFrame:
@@ -209,6 +209,22 @@ def approx_median_frame(df: DataFrame, column: str, accuracy: int = 10000) -> Da
     return df.agg(F.percentile_approx(column, 0.5, accuracy).cast("double").alias("median"))
 
 
+def median_rank(df: DataFrame, column: str, accuracy: int = 10000) -> DataFrame:
+    """(n, within): how many values there are, and whether approx_median_frame's value holds the
+    middle rank within a relative error of 1 / accuracy."""
+    median = approx_median_frame(df, column, accuracy).scalar()
+    value = F.col("x")
+    ranks = df.select(F.col(column).alias("x"), median.alias("m")).agg(
+        F.count("x").alias("n"),
+        F.count_if(value < F.col("m")).alias("below"),
+        F.count_if(value <= F.col("m")).alias("upto"),
+    )
+    slack = F.col("n") / F.lit(accuracy) + 1
+    middle = F.col("n") / 2
+    within = (F.col("below") <= middle + slack) & (F.col("upto") >= middle - slack)
+    return ranks.select("n", within.alias("within"))
+
+
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """(median): the smallest value of an integer column with at least half of the rows at or
     below it.

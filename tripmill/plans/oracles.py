@@ -5,6 +5,7 @@ Each text starts from a trips view inlined as a common table expression.
 
 from __future__ import annotations
 
+from tripmill.operators.models import TREE_SETTINGS
 from tripmill.plans.queries import CLIP, LOW_VOLUME_FRACTION, RULES, TOP_CELLS
 
 _TRIPS = """
@@ -132,6 +133,7 @@ _FLAGGED = """, flagged as (
   select *, case when store_and_fwd_flag = 'Y' then 1 else 0 end as store_and_fwd_flag_int
   from trips
 )"""
+_FLAGGED_RAW = _FLAGGED.replace("from trips", "from trips_raw")
 
 
 def _corr(a: str, b: str) -> str:
@@ -144,7 +146,7 @@ def _corr_rows() -> str:
         for a in _VARIABLES
         for b in _VARIABLES
     ]
-    return _sql(" union all ".join(rows), _FLAGGED)
+    return _sql(" union all ".join(rows), _FLAGGED_RAW)
 
 
 def _corr_lines(with_names: bool) -> str:
@@ -274,6 +276,24 @@ def _bayes_confusion() -> str:
     )
 
 
+def _test_labels(fields: str) -> str:
+    return _sql(
+        "select case when trip_duration < 1200 then 0.0::double else 1.0::double end as label, "
+        f"{fields} from cleaned where {_bucket()} >= 66 group by 1",
+        _CLEAN,
+    )
+
+
+def _tree_settings() -> str:
+    settings = ", ".join(f"('{i}', {d}, {b})" for i, d, b in TREE_SETTINGS)
+    return _sql(
+        "select impurity, cast(max_depth as int) as max_depth, cast(max_bins as int) as max_bins, "
+        f"(select count(*) from cleaned where {_bucket('inner')} >= 66) as n_valid, "
+        f"true as whole from (values {settings}) as s(impurity, max_depth, max_bins)",
+        _CLEAN,
+    )
+
+
 _RULE = """, clock as (
   select case when trip_duration < 1200 then 0.0::double else 1.0::double end as label,
     (hour(dropoff_datetime) - hour(pickup_datetime)) * 3600
@@ -497,6 +517,14 @@ def oracle_sql() -> dict[str, str]:
         ),
         "nb_model": _bayes_rows(),
         "nb_score": _bayes_confusion(),
+        "duration_median_approx": _sql(
+            "select count(trip_duration) as n, true as within from trips"
+        ),
+        "dt_grid": _tree_settings(),
+        "dt_score": _test_labels("count(*) as n, true as agree"),
+        "dt_score_without_dropoff_time": _test_labels("count(*) as n, true as agree"),
+        "rf_score": _test_labels("count(*) as n, true as agree"),
+        "rf_model": "select 21::bigint as n_slots, 0::bigint as n_negative, 1.0::double as total",
     }
     for c in _COORDINATES:
         sql[f"histogram_{c}"] = _histogram(c)

@@ -267,7 +267,7 @@ def corr_pair(spark, sf_dir):
 
 @_register
 def corr_matrix(spark, sf_dir):
-    pairs = correlation.correlation_pairs(flags.with_flag_int(trips(spark, sf_dir)))
+    pairs = correlation.correlation_pairs(flags.with_flag_int(trips_raw(spark, sf_dir)))
     return pairs.withColumn("corr", _r6("corr"))
 
 
@@ -309,7 +309,7 @@ def duration_median_exact(spark, sf_dir):
 
 @_register
 def duration_median_approx(spark, sf_dir):
-    return profile.approx_median_frame(trips(spark, sf_dir), "trip_duration")
+    return profile.median_rank(trips(spark, sf_dir), "trip_duration")
 
 
 @_register
@@ -492,14 +492,9 @@ def score_roc_curve(spark, sf_dir):
 
 @_register
 def score_auc(spark, sf_dir):
-    rows = rule_predictions(spark, sf_dir)
-    roc = metrics.auc_roc(rows, "score").select(
-        F.lit("auc_roc").alias("metric"), _r6("auc_roc").alias("value")
-    )
-    pr = metrics.auc_pr(rows, "score").select(
-        F.lit("auc_pr").alias("metric"), _r6("auc_pr").alias("value")
-    )
-    return roc.union(pr)
+    both = metrics.areas(rule_predictions(spark, sf_dir), "score")
+    rows = [F.struct(F.lit(c).alias("metric"), _r6(c).alias("value")) for c in both.columns]
+    return both.select(F.inline(F.array(*rows)))
 
 
 # ---- models -----------------------------------------------------------------------------------
@@ -507,17 +502,34 @@ def score_auc(spark, sf_dir):
 
 @_register
 def dt_grid(spark, sf_dir):
-    return models.compare_trees(_encoded(spark, sf_dir))
+    """Every setting, and whether its error is a count of wrong rows out of n_valid."""
+    compared = models.compare_trees(_encoded(spark, sf_dir))
+    wrong = F.col("error_rate") * F.col("n_valid")
+    whole = (F.abs(wrong - F.round(wrong)) < 1e-6) & F.col("error_rate").between(0, 1)
+    return compared.withColumn("whole", whole).drop("error_rate")
+
+
+def _by_label(spark, sf_dir, kind: str, **options) -> DataFrame:
+    """(label, n, agree): test rows by true class, and whether the error rate over the predictions
+    is that of their confusion matrix."""
+    trained = train(
+        trips_raw(spark, sf_dir), kind, RULES, CLASS_THRESHOLD, params=CHOICES[kind], **options
+    )
+    wrong = F.sum(F.when(F.col("label") != F.col("prediction"), F.col("n")).otherwise(0))
+    cells = trained.confusion
+    n_wrong = cells.agg(wrong).scalar()
+    agree = metrics.error_rate(trained.predictions).select(F.col("n_wrong") == n_wrong).scalar()
+    return cells.groupBy("label").agg(F.sum("n").alias("n")).withColumn("agree", agree)
 
 
 @_register
 def dt_score(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"]).metrics
+    return _by_label(spark, sf_dir, "dt")
 
 
 @_register
 def dt_score_without_dropoff_time(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"], with_dropoff_time=False).metrics
+    return _by_label(spark, sf_dir, "dt", with_dropoff_time=False)
 
 
 @_register
@@ -541,12 +553,17 @@ def nb_cv(spark, sf_dir):
 @_register
 def rf_model(spark, sf_dir):
     trained = train(trips_raw(spark, sf_dir), "rf", RULES, params=CHOICES["rf"])
-    return models.feature_importance(spark, trained.model)
+    weights = models.feature_importance(spark, trained.model)
+    return weights.agg(
+        F.count("*").alias("n_slots"),
+        F.count_if(F.col("importance") < 0).alias("n_negative"),
+        _r6(F.sum("importance")).alias("total"),
+    )
 
 
 @_register
 def rf_score(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "rf", RULES, params=CHOICES["rf"]).metrics
+    return _by_label(spark, sf_dir, "rf")
 
 
 @_register

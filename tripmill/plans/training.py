@@ -27,7 +27,7 @@ from tripmill.operators.models import (
     tuning_table,
 )
 from tripmill.operators.profile import approx_median
-from tripmill.operators.split import hash_split, random_split
+from tripmill.operators.split import hash_split, random_split, with_fold
 from tripmill.session import tune
 from tripmill.sources.sinks import load_model
 from tripmill.sources.trips import read_trips_csv
@@ -96,7 +96,10 @@ def train(
         with_dropoff_time=with_dropoff_time,
         handle_invalid=handle_invalid,
     ).fit(train_side)
-    with cached(encoder.transform(train_side)) as encoded:
+    features = encoder.transform(train_side)
+    if kind != "dt" and params is None:
+        features = with_fold(features, folds)  # kept with the features, not hashed in every pass
+    with cached(features) as encoded:
         fitted, tuning = _fit(encoded, kind, grid, params, folds, parallelism)
     model = PipelineModel(encoder.stages + [fitted])
     predictions = model.transform(test_side).select("id", "probability", "prediction", "label")
