@@ -111,7 +111,7 @@ def test_tree_comparison_judges_every_setting(encoded):
     assert encoded.is_cached  # a frame that was kept stays kept
 
 
-def test_grids_have_their_published_size():
+def test_grids_have_their_published_size(spark):
     forest = models.param_grid(models.random_forest(), models.FOREST_GRID)
     bayes = models.param_grid(models.naive_bayes(), models.BAYES_GRID)
     assert (len(forest), len(bayes), len(FULL_GRIDS["dt"])) == (168, 6, 10)
