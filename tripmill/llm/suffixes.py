@@ -6,8 +6,8 @@ windows have equal anchors at equal offsets, so all repeats of a window meet whe
 hash is shared. There the texts right of the anchor are ordered deep-shallow (multikey quicksort
 to a shallow depth, blind tries below it), and those left of it, read backwards, as well; common
 prefixes of the two orders tell which windows occur twice. Anchors whose hash occurs too often for
-one task are grouped again by the half window on either side; halves that are still too frequent
-have their windows counted one by one.
+one task have their stretches of windows counted by digest, whole ones first, then smaller blocks of
+those that differ.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ GROUP = 50_000
 PAIRED = 64
 #: Periods up to here are looked for where anchors lie closer than usual.
 PERIOD = 32
+#: Windows of a too frequent anchor are looked at in blocks of so many; the first takes all.
+BLOCK_WIDTHS = (4096, 48, 8, 1)
 NULL_ID = -(1 << 63)
 
 
@@ -299,7 +301,7 @@ def _by_pairs(ranks, left, back, span, length: int):
 
 ANCHORS = "h bigint, id bigint, code bigint, place bigint"
 CONTEXTS = "h bigint, id bigint, code bigint, pos bigint, left bigint, back bigint, context binary"
-WINDOWS = "h bigint, id bigint, code bigint, start bigint"
+BLOCKS = "h bigint, id bigint, code bigint, place bigint, core binary, whole binary"
 RUNS = "id bigint, code bigint, start bigint, end bigint"
 REMOVED = (
     "doc_id bigint, code bigint, n_bytes bigint, n_removed bigint, n_spans bigint,"
@@ -386,81 +388,90 @@ def _group_runs(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(sort, RUNS)
 
 
-def _halves(joined: DataFrame, length: int) -> DataFrame:
-    """Anchors of frequent hashes under finer ones: equal windows agree in the half to the right
-    of the anchor or in the half to its left, whichever they reach over."""
-    half = length // 2
+def _block_rows(hot: DataFrame, length: int, width: int) -> DataFrame:
+    """A row per anchor and block of `width` distances, which start at multiples of it.
+
+    whole: digest of the bytes under all of the anchor's windows in the block; core: digest of
+    those that every window of the block covers, or of the anchor hash where there are none. A
+    text names each stretch once, also where two of its anchors stand for the same windows.
+    """
 
     def cut(batches):
         for batch in batches:
             rows = []
             for i, code, text, found in _placed(batch):
+                seen = set()
                 for h, pos, left, back in found:
-                    sides = (
-                        (b"r", text[pos : pos + half], min(left, half), back),
-                        (b"l", text[max(pos - half, 0) : pos], left, max(back, half + 1)),
-                    )
-                    for side, own, far, near in sides:
-                        if near <= far:
-                            key = h.to_bytes(8, "little", signed=True)
-                            digest = hashlib.blake2b(side + key + own, digest_size=8).digest()
-                            finer = int.from_bytes(digest, "little", signed=True)
-                            rows.append((finer, i, code, pos << 24 | far << 12 | near))
-            yield arrow_rows(rows, ANCHORS)
+                    for low in range(back - back % width, left + 1, width):
+                        far, near = min(left, low + width - 1), max(back, low)
+                        if (pos - far, pos - near) in seen:
+                            continue
+                        seen.add((pos - far, pos - near))
+                        core = text[pos - low : max(pos - low - width + 1 + length, 0)]
+                        core = core or h.to_bytes(8, "little", signed=True)
+                        whole = text[pos - far : pos - near + length]
+                        digests = [hashlib.blake2b(x, digest_size=16).digest() for x in (core, whole)]
+                        rows.append((h, i, code, pos << 24 | far << 12 | near, *digests))
+                if len(rows) > 8192:
+                    yield arrow_rows(rows, BLOCKS)
+                    rows = []
+            yield arrow_rows(rows, BLOCKS)
 
-    return joined.mapInArrow(cut, ANCHORS)
+    return hot.mapInArrow(cut, BLOCKS)
 
 
-def _window_runs(joined: DataFrame, length: int) -> DataFrame:
-    """The way of halves that are still too frequent: a row per window, counted by its hash."""
+def _block_runs(texts: DataFrame, hot: DataFrame, length: int) -> DataFrame:
+    """Runs of anchors whose hash is too frequent for one task, by ever smaller blocks of windows.
 
-    def cut(batches):
-        for batch in batches:
-            rows = []
-            for i, code, text, found in _placed(batch):
-                for h, pos, left, back in found:
-                    for start in range(pos - left, pos - back + 1):
-                        own = hashlib.blake2b(text[start : start + length], digest_size=8).digest()
-                        rows.append((int.from_bytes(own, "little", signed=True), i, code, start))
-                    if len(rows) > 8192:
-                        yield arrow_rows(rows, WINDOWS)
-                        rows = []
-            yield arrow_rows(rows, WINDOWS)
-
-    windows = stored(joined.mapInArrow(cut, WINDOWS), "windows")
-    often = windows.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h")
-    return windows.join(often, "h").select("id", "code", "start", (F.col("start") + length).alias("end"))
+    Where a block's whole stretch occurs again, all of its windows do. One of each different
+    stretch goes on to smaller blocks, if its core occurs in another stretch as well; copies are
+    counted and left behind, so only stretches that differ near their ends reach single windows.
+    """
+    runs = None
+    for width in BLOCK_WIDTHS:
+        rows = stored(_block_rows(_with_text(texts, hot), length, width), "blocks")
+        # one row per different stretch; map-side combined
+        first = [F.first(c).alias(c) for c in ("h", "id", "code", "place")]
+        wholes = rows.groupBy("core", "whole").agg(F.count("*").alias("k"), *first)
+        wholes = stored(wholes, "stretches")
+        again = rows.join(wholes.filter("k > 1").select("whole").distinct(), "whole")
+        pos, far, near = (F.expr(x) for x in ("place >> 24", "place >> 12 & 4095", "place & 4095"))
+        own = again.select(
+            "id", "code", (pos - far).alias("start"), (pos - near + length).alias("end")
+        )
+        runs = own if runs is None else runs.unionByName(own)
+        if width < length:
+            shared = wholes.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+            wholes = wholes.join(shared.select("core"), "core")
+        hot = wholes.select("h", "id", "code", "place")
+    return runs
+
+
+def _with_text(texts: DataFrame, found: DataFrame) -> DataFrame:
+    """The texts that have anchors in `found`, with the anchors' places and hashes."""
+    per_text = (
+        found.groupBy("id", "code")
+        .agg(F.sort_array(F.collect_set(F.struct("place", "h"))).alias("a"))
+        .select("id", "code", F.col("a.h").alias("hashes"), F.col("a.place").alias("places"))
+    )
+    return texts.join(per_text, ["id", "code"])
 
 
 def repeated_runs(texts: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
-    """(id, code, start, end): bytes covered by repeated strings; runs may overlap."""
-    rows = stored(_anchor_rows(texts, length), "anchors")
+    """(id, code, start, end): bytes covered by repeated strings; runs may overlap.
 
-    def joined(found: DataFrame, hashes: DataFrame) -> DataFrame:
-        per_text = (
-            found.join(hashes.select("h"), "h")
-            .groupBy("id", "code")
-            .agg(F.sort_array(F.collect_set(F.struct("place", "h"))).alias("a"))
-            .select("id", "code", F.col("a.h").alias("hashes"), F.col("a.place").alias("places"))
-        )
-        return texts.join(per_text, ["id", "code"])
-
-    def resolve(found: DataFrame, beyond) -> DataFrame:
-        """Runs of all groups of up to `group` members here, of the others by `beyond`."""
-        often = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
-        often = stored(often, "often")
-        greatest = often.agg(F.max("k")).first()[0] or 0
-        cold = joined(found, often.filter(F.col("k") <= group))
-        runs = _group_runs(_contexts(cold, length), length)
-        if greatest > group:
-            runs = runs.unionByName(beyond(joined(found, often.filter(F.col("k") > group))))
-        return runs
-
-    def by_halves(hot: DataFrame) -> DataFrame:
-        halves = stored(_halves(hot, length), "halves")
-        return resolve(halves, lambda still_hot: _window_runs(still_hot, length))
-
-    runs = resolve(rows.filter("place >= 0"), by_halves)
+    Groups of up to `group` anchors are sorted, each in one task; greater ones go by blocks.
+    """
+    rows = stored(_anchor_rows(texts, length), "anchors")
+    found = rows.filter("place >= 0")
+    often = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
+    often = stored(often, "often")
+    greatest = often.agg(F.max("k")).first()[0] or 0
+    cold = found.join(often.filter(F.col("k") <= group).select("h"), "h")
+    runs = _group_runs(_contexts(_with_text(texts, cold), length), length)
+    if greatest > group:
+        hot = found.join(often.filter(F.col("k") > group).select("h"), "h")
+        runs = runs.unionByName(_block_runs(texts, hot, length))
     stretches = rows.filter("place < 0")
     return runs.unionByName(
         stretches.select("id", "code", F.col("h").alias("start"), (-F.col("place")).alias("end"))
