@@ -222,6 +222,29 @@ def test_learned_formats_tell_credentials_from_words():
     assert all(secrets.format_score(tables, k) < secrets.THRESHOLD for k in plain[100:])
 
 
+def keys_in_words(n, labelled, wrap="{}", length=20):
+    """Texts of ordinary words; every one holds a key, and the first ones name it a token."""
+    rng = random.Random(4)
+    key = lambda: "".join(rng.choice("abcxyzABCXYZ0123456789") for _ in range(length))
+    keys = [key() for _ in range(n)]
+    words = ["".join(rng.choice("aeinorstlm") for _ in range(rng.randint(4, 22))) for _ in range(400)]
+    made = []
+    for i, k in enumerate(keys):
+        own = [*rng.sample(words, 12), "10.2.33.%d" % i, "mail%d.example.com" % (i % 9), "98079157%08d" % i]
+        made.append((i, " ".join([*own, ("token: " if i < labelled else "") + wrap.format(k)])))
+    return keys, made
+
+
+def test_unlabelled_credentials_do_not_teach_what_is_ordinary(spark):
+    keys, made = keys_in_words(400, 40)
+    found = secrets.redact_documents(
+        spark.createDataFrame([(i, t, len(t)) for i, t in made], "doc_id bigint, text string, n_chars int")
+    ).collect()
+    for r in found:
+        assert keys[r.doc_id] not in r.text
+        assert r.text.count("[secret]") == 1
+
+
 def brute_components(rows):
     sets = []
     for i, t in rows:

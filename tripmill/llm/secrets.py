@@ -30,8 +30,16 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 #: Tokens that may be credentials; they must hold a digit.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-#: Tokens without a digit, examples of what is no credential.
-ORDINARY = re.compile(r"[A-Za-z.-]{16,}")
+#: Tokens known to be no credential, by kind: words, numbers, and paths or hosts of both. A token
+#: is of the first kind that matches all of it. No other unlabelled token is learned from, as it may
+#: be a credential that the fixed patterns do not know.
+_SEP, _WORD = "[+/_.=-]", "(?:[A-Z]?[a-z]{1,24}(?:[A-Z][a-z]{2,24}){0,4}|[A-Z]{1,24})"
+_PART = f"(?:{_WORD}[0-9]{{0,3}}|[0-9]{{1,8}})"
+ORDINARY = {
+    "": re.compile(f"{_SEP}*{_WORD}(?:{_SEP}+{_WORD})*{_SEP}*"),
+    "number": re.compile(f"{_SEP}*[0-9]{{1,20}}(?:{_SEP}+[0-9]{{1,20}})*{_SEP}*"),
+    "path": re.compile(f"{_SEP}*{_PART}(?:{_SEP}+{_PART})+{_SEP}*"),
+}
 #: Labelled credentials of each kind, and ordinary tokens, that automata are fitted to.
 SAMPLE = 500
 #: Confidence of the compatibility test of two states.
@@ -66,12 +74,21 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, str, int, str]]:
     return found
 
 
-def candidates(text: str, raw: bytes) -> list[tuple[int, int]]:
-    """Spans of tokens with the characters, length and a digit of a credential."""
+def tokens_of(text: str, raw: bytes) -> list[tuple[int, int]]:
+    """Spans of tokens with the characters and length of a credential."""
     if b"x" * 16 not in raw.translate(_LONG_RUN):
         return []
-    spans = ((m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text))
-    return [(a, b) for a, b, token in spans if any(c.isdigit() for c in token)]
+    return [m.span() for m in CANDIDATE.finditer(text)]
+
+
+def candidates(text: str, raw: bytes) -> list[tuple[int, int]]:
+    """Spans of tokens with the characters, length and a digit of a credential."""
+    return [(a, b) for a, b in tokens_of(text, raw) if any(c.isdigit() for c in text[a:b])]
+
+
+def ordinary_kind(token: str) -> str | None:
+    """The kind of ordinary token that this one is known to be, if any."""
+    return next((kind for kind, shape in ORDINARY.items() if shape.fullmatch(token)), None)
 
 
 def symbols(token: str) -> str:
@@ -182,7 +199,7 @@ def log_likelihood(table: list[dict], string: str) -> float:
 
 
 def learn(examples: dict[str, list[str]]) -> dict[str, list]:
-    """One automaton table per kind of examples; kind "" holds ordinary tokens."""
+    """One automaton table per kind of examples; those of ORDINARY hold ordinary tokens."""
     return {
         kind: Automaton([symbols(x) for x in sorted(own)]).merge_compatible().table()
         for kind, own in sorted(examples.items())
@@ -192,8 +209,9 @@ def learn(examples: dict[str, list[str]]) -> dict[str, list]:
 def format_score(tables: dict[str, list], token: str) -> float:
     """Greatest log-likelihood ratio per character of a learned format to ordinary tokens."""
     s = symbols(token)
-    plain = log_likelihood(tables[""], s) if "" in tables else (len(s) + 1) * -math.log(ALPHABET)
-    best = max((log_likelihood(t, s) for k, t in tables.items() if k), default=-math.inf)
+    own = [log_likelihood(t, s) for k, t in tables.items() if k in ORDINARY]
+    plain = max(own, default=(len(s) + 1) * -math.log(ALPHABET))
+    best = max((log_likelihood(t, s) for k, t in tables.items() if k not in ORDINARY), default=-math.inf)
     return (best - plain) / (len(s) + 1)
 
 
@@ -205,7 +223,7 @@ SPANS = (
 
 
 def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(kind, token): at most `sample` different credentials per base kind, and of other tokens.
+    """(kind, token): at most `sample` different tokens per base kind and kind of ordinary token.
 
     Which ones is decided by their hash alone, so it does not depend on order or partitions.
     """
@@ -217,10 +235,10 @@ def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 text = raw.decode("utf-8", "replace")
                 base = base_spans(text, raw)
                 rows |= {(kind, token[:SCORED]) for _, kind, _, token in base}
-                if not base:
-                    rows |= {("", text[a:b][:SCORED]) for a, b in candidates(text, raw)}
-                    if plain := ORDINARY.search(text):
-                        rows.add(("", plain[0][:SCORED]))
+                for a, b in tokens_of(text, raw):
+                    if (kind := ordinary_kind(text[a:b])) is not None:
+                        if not any(a < y and x < b for x, _, y, _ in base):
+                            rows.add((kind, text[a:b][:SCORED]))
             yield arrow_rows(sorted(rows), EXAMPLES)
 
     tokens = docs.mapInArrow(find, EXAMPLES).distinct()
@@ -239,7 +257,7 @@ def scan(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) ->
     and empty texts have no spans; tables without any credential learn nothing and add nothing;
     repeated rows are scanned alike; other columns are not read. code is a hash of the text.
 
-    The sample (at most 4 x `sample` tokens) is learned from on the driver, once.
+    The sample (at most 6 x `sample` tokens) is learned from on the driver, once.
     """
     texts = documents(docs).withColumn("code", F.xxhash64("text"))
     tables = learned(texts.select("text"), sample)
