@@ -245,6 +245,20 @@ def test_unlabelled_credentials_do_not_teach_what_is_ordinary(spark):
         assert r.text.count("[secret]") == 1
 
 
+@pytest.mark.parametrize("wrap", ["{}ZQKWXYZ", "QZ{}XKWY", "remainder{}remainderofit"])
+def test_token_around_a_hex_run_is_masked_whole(spark, wrap):
+    rng = random.Random(6)
+    _, made = keys_in_words(40, 40)
+    runs = ["".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(40)]
+    # what is glued is no hex letter, so that the run ends where it does
+    made = [(i, f"{t} xx {wrap.format('0' + h[1:-1] + '9')} yy") for (i, t), h in zip(made, runs)]
+    one = spark.createDataFrame(made, "doc_id bigint, text string")
+    for r in secrets.redact_documents(one.withColumn("n_chars", one.doc_id.cast("int"))).collect():
+        assert r.text.endswith(" xx [secret] yy")
+    base = {r.doc_id: (r.n_hex, r.spans) for r in secrets.scan(one).collect()}
+    assert all(n == 1 and "hex:" in spans for n, spans in base.values())
+
+
 def brute_components(rows):
     sets = []
     for i, t in rows:

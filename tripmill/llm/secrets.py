@@ -3,7 +3,7 @@
 Credentials that the fixed patterns find are labelled examples. Per kind, a prefix tree of a
 bounded sample of them is generalised by merging states whose futures are statistically
 compatible (the ALERGIA scheme); the result is a probabilistic automaton over character classes.
-Every other token that could be a credential is scored by the likelihood of its format under the
+Every token that could be a credential and is not all found by them is scored by the likelihood of its format under the
 automata against that of ordinary tokens, and added as kind "format" above a threshold.
 """
 
@@ -253,9 +253,8 @@ def scan(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) ->
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans and code per row of docs.
 
     spans: kind:start:end of all spans by start, then kind, in code points, end exclusive. base
-    spans are those of the fixed patterns and stay; a "format" span overlaps none of them. Null
-    and empty texts have no spans; tables without any credential learn nothing and add nothing;
-    repeated rows are scanned alike; other columns are not read. code is a hash of the text.
+    spans are those of the fixed patterns and stay; a "format" span may reach beyond one, where
+    more of its token scores or is glued to a run of the access or hex pattern. Null and empty texts have no spans; tables without any credential learn nothing and add nothing; repeated rows are scanned alike; other columns are not read. code is a hash of the text.
 
     The sample (at most 6 x `sample` tokens) is learned from on the driver, once.
     """
@@ -313,14 +312,25 @@ def _report(raw: bytes, tables: dict, threshold: float) -> tuple:
     text = raw.decode("utf-8", "replace")
     base = base_spans(text, raw)
     found = [(a, KINDS.index(kind), b) for a, kind, b, _ in base]
-    added = [
-        (a, 3, b)
-        for a, b in (candidates(text, raw) if tables else [])
-        if not any(a < y and x < b for x, _, y in found)
-        and format_score(tables, text[a:b]) >= threshold
-    ]
+    added = set()
+    for a, b in candidates(text, raw) if tables or found else []:
+        touched = [(x, k, y) for x, k, y in found if a < y and x < b]
+        if any(x <= a and b <= y for x, _, y in touched):
+            continue
+        if tables and format_score(tables, text[a:b]) >= threshold:
+            added.add((a, 3, b))
+            continue
+        # letters and digits that an access or hex run is glued to belong to it
+        for x, k, y in touched:
+            low, high = x, y
+            while k and low > a and text[low - 1].isalnum():
+                low -= 1
+            while k and high < b and text[high].isalnum():
+                high += 1
+            if (low, high) != (x, y):
+                added.add((low, 3, high))
     n = [sum(k == kind for _, k, _ in found) for kind in range(3)]
-    return *n, hashlib.sha256(_join(found).encode()).hexdigest(), _join(found + added)
+    return *n, hashlib.sha256(_join(found).encode()).hexdigest(), _join([*found, *added])
 
 
 def _join(spans: list[tuple[int, int, int]]) -> str:
