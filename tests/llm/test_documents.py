@@ -245,6 +245,18 @@ def test_unlabelled_credentials_do_not_teach_what_is_ordinary(spark):
         assert r.text.count("[secret]") == 1
 
 
+def test_short_and_letters_only_credentials_are_scored(spark):
+    keys, made = keys_in_words(300, 60, length=12)
+    letters = [(300 + i, "reinten XaBcYzAbXcYa sentiontor") for i in range(3)]
+    keys += ["XaBcYzAbXcYa"] * 3
+    found = secrets.redact_documents(
+        spark.createDataFrame([(i, t, 0) for i, t in made + letters], "doc_id bigint, text string, n_chars int")
+    ).collect()
+    for r in found:
+        assert keys[r.doc_id] not in r.text
+        assert r.text.count("[secret]") == 1
+
+
 @pytest.mark.parametrize("wrap", ["{}ZQKWXYZ", "QZ{}XKWY", "remainder{}remainderofit"])
 def test_token_around_a_hex_run_is_masked_whole(spark, wrap):
     rng = random.Random(6)

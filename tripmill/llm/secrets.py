@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
-#: Tokens that may be credentials; they must hold a digit.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: Tokens that may be credentials, of the least length of the base kinds; the likelihood decides.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 #: Tokens known to be no credential, by kind: words, numbers, and paths or hosts of both. A token
 #: is of the first kind that matches all of it. No other unlabelled token is learned from, as it may
 #: be a credential that the fixed patterns do not know.
@@ -74,16 +75,12 @@ def base_spans(text: str, raw: bytes) -> list[tuple[int, str, int, str]]:
     return found
 
 
-def tokens_of(text: str, raw: bytes) -> list[tuple[int, int]]:
-    """Spans of tokens with the characters and length of a credential."""
-    if b"x" * 16 not in raw.translate(_LONG_RUN):
-        return []
-    return [m.span() for m in CANDIDATE.finditer(text)]
-
-
 def candidates(text: str, raw: bytes) -> list[tuple[int, int]]:
-    """Spans of tokens with the characters, length and a digit of a credential."""
-    return [(a, b) for a, b in tokens_of(text, raw) if any(c.isdigit() for c in text[a:b])]
+    """Spans of tokens with the characters and least length of a credential."""
+    if b"x" * LEAST["assign"] not in raw.translate(_LONG_RUN):
+        return []
+    spans = ((m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text))
+    return [(a, b) for a, b, token in spans if token.strip("+/_.=-")]
 
 
 def ordinary_kind(token: str) -> str | None:
@@ -208,13 +205,27 @@ def learn(examples: dict[str, list[str]]) -> dict[str, list]:
 
 def format_score(tables: dict[str, list], token: str) -> float:
     """Greatest log-likelihood ratio per character of a learned format to ordinary tokens."""
-    s = symbols(token)
+    return symbols_score(tables, symbols(token))
+
+
+def symbols_score(tables: dict[str, list], s: str) -> float:
     own = [log_likelihood(t, s) for k, t in tables.items() if k in ORDINARY]
     plain = max(own, default=(len(s) + 1) * -math.log(ALPHABET))
     best = max((log_likelihood(t, s) for k, t in tables.items() if k not in ORDINARY), default=-math.inf)
     return (best - plain) / (len(s) + 1)
 
 
+def scorer(tables: dict[str, list]):
+    """format_score of tokens; most tokens are words, which share few strings of symbols."""
+    short = lru_cache(1 << 16)(partial(symbols_score, tables))
+
+    def score(token: str) -> float:
+        s = symbols(token)
+        return short(s) if len(s) <= 32 else symbols_score(tables, s)
+
+    return score if tables else None
+
+
 EXAMPLES = "kind string, token string"
 SPANS = (
     "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string,"
@@ -235,7 +246,7 @@ def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 text = raw.decode("utf-8", "replace")
                 base = base_spans(text, raw)
                 rows |= {(kind, token[:SCORED]) for _, kind, _, token in base}
-                for a, b in tokens_of(text, raw):
+                for a, b in candidates(text, raw):
                     if (kind := ordinary_kind(text[a:b])) is not None:
                         if not any(a < y and x < b for x, _, y, _ in base):
                             rows.add((kind, text[a:b][:SCORED]))
@@ -262,11 +273,12 @@ def scan(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) ->
     tables = learned(texts.select("text"), sample)
 
     def scan_batches(batches):
+        score = scorer(tables)
         for batch in batches:
             rows = []
             ids, codes = batch.column("doc_id").to_pylist(), batch.column("code").to_pylist()
             for doc_id, code, raw in zip(ids, codes, utf8(batch)):
-                rows.append((doc_id, *_report(raw, tables, threshold), code))
+                rows.append((doc_id, *_report(raw, score, threshold), code))
             yield arrow_rows(rows, SPANS)
 
     return texts.mapInArrow(scan_batches, SPANS)
@@ -292,11 +304,12 @@ def redact_documents(
     def redact_batches(batches):
         import pyarrow as pa
 
+        score = scorer(tables)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for k, text in enumerate(texts):
                 if text:
-                    spans = _report(text.encode("utf-8", "replace"), tables, threshold)[-1]
+                    spans = _report(text.encode("utf-8", "replace"), score, threshold)[-1]
                     texts[k] = redact(text, spans, mark) if spans else text
             columns = {"text": texts, "n_chars": [None if t is None else len(t) for t in texts]}
             arrays = [
@@ -308,16 +321,16 @@ def redact_documents(
     return docs.mapInArrow(redact_batches, docs.schema)
 
 
-def _report(raw: bytes, tables: dict, threshold: float) -> tuple:
+def _report(raw: bytes, score, threshold: float) -> tuple:
     text = raw.decode("utf-8", "replace")
     base = base_spans(text, raw)
     found = [(a, KINDS.index(kind), b) for a, kind, b, _ in base]
     added = set()
-    for a, b in candidates(text, raw) if tables or found else []:
+    for a, b in candidates(text, raw) if score or found else []:
         touched = [(x, k, y) for x, k, y in found if a < y and x < b]
         if any(x <= a and b <= y for x, _, y in touched):
             continue
-        if tables and format_score(tables, text[a:b]) >= threshold:
+        if score and score(text[a:b]) >= threshold:
             added.add((a, 3, b))
             continue
         # letters and digits that an access or hex run is glued to belong to it
