@@ -302,6 +302,19 @@ def test_near_duplicates(docs, rows, block):
     }
 
 
+def test_texts_of_one_group_that_share_an_id_are_all_compared(spark):
+    one = [f"a{k}" for k in range(60)]
+    two = [f"b{k}" for k in range(60)]
+    # 3 is near the first text of 1 and 4 near the second; 2 bridges the texts into one group
+    mixed = one[:30] + two[:30]
+    rows = [(1, "\t".join(one)), (1, "\t".join(two)), (3, " ".join(one[:-1])), (4, " ".join(two[:-1])),
+            (2, " ".join(mixed))]
+    members = [(7, 0, 0, 0, i, k, " ".join(t.split())) for k, (i, t) in enumerate(rows)]
+    schema = "component int, one int, two int, block int, id bigint, code bigint, text string"
+    links = minhash._verified(spark.createDataFrame(members, schema)).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in links} == {(1, 3), (1, 4)}
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     bench = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")

@@ -249,7 +249,10 @@ LINKS = "a bigint, b bigint"
 
 
 def _verified(members: DataFrame) -> DataFrame:
-    """Links (a, b) inside groups: rows (component, one, two, block, id, text), in any order."""
+    """Links (a, b) inside groups: rows (component, one, two, block, id, code, text), in any order.
+
+    Texts that share an id are members of their own; links name ids.
+    """
 
     def verify(batches):
         import numpy as np
@@ -257,20 +260,21 @@ def _verified(members: DataFrame) -> DataFrame:
         key, held = None, {}
 
         def links():
-            ids = sorted(held)
-            sides = None if key[1] == key[2] else [int(held[i][0] == key[2]) for i in ids]
-            return [(ids[i], ids[j]) for i, j in group_links([held[i][1] for i in ids], sides)]
+            own = sorted(held)
+            sides = None if key[1] == key[2] else [int(held[m][0] == key[2]) for m in own]
+            found = group_links([held[m][1] for m in own], sides)
+            return [(own[i][0], own[j][0]) for i, j in found if own[i][0] != own[j][0]]
 
         out: list[tuple] = []
         for batch in batches:
-            names = ("component", "one", "two", "block", "id")
+            names = ("component", "one", "two", "block", "id", "code")
             columns = [batch.column(c).to_pylist() for c in names]
-            for *own, block, i, text in zip(*columns, utf8(batch)):
+            for *own, block, i, code, text in zip(*columns, utf8(batch)):
                 if own != key:
                     if key is not None:
                         out += links()
                     key, held = own, {}
-                held[i] = block, shingles(text)[1]
+                held[i, code] = block, shingles(text)[1]
             if len(out) > 4096:
                 yield arrow_rows(out, LINKS)
                 out = []
