@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import (
+    byte_network,
     chat,
     decontam,
     html_text,
     licenses,
     minhash,
     packing,
+    phrases,
     quality,
+    repair,
     secrets,
     suffixes,
     token_counts,
@@ -86,6 +89,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(own.unionByName(hostile))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.reports(repair.damage(table(ship(spark), sf_dir, "conversations")))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(ship(spark), sf_dir, "documents"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(ship(spark), sf_dir, "documents")
+    return byte_network.classify(docs, table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +110,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_packing, op2_decontamination, op3_licenses, op4_quality, op5_suffix_dedup,
-           op6_secrets, op7_token_counts, op8_html_text, op9_minhash, op10_chat, pipeline)
+           op6_secrets, op7_token_counts, op8_html_text, op9_minhash, op10_chat, op11_structure_repair,
+           op12_collocations, op13_quality_classifier, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -145,7 +162,47 @@ SELECT conv_id, count(*) AS n_turns,
 FROM shown GROUP BY conv_id
 """
 
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+spoken AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM spoken, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM spoken GROUP BY lang),
+counts AS (
+  SELECT lang, phrase, m, count(*) AS f FROM grams GROUP BY lang, phrase, m HAVING count(*) >= 100),
+candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head,
+         array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)),
+scores AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n,
+         (CAST(1000 AS HUGEINT) * a * n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head
+    JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail JOIN totals t ON t.lang = c.lang),
+lowest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, a
+  FROM (SELECT *, unnest(range(1, m - k + 2)) AS i
+        FROM (SELECT *, unnest(range(2, m)) AS k FROM candidates))),
+kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM inside i WHERE i.lang = s.lang AND i.phrase = s.phrase AND 100 * i.a >= 100 * s.a)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For the queries whose whole result SQL can express; the others are tested by brute force."""
-    return {"op2_decontamination": _OP2, "op10_chat": _OP10}
+    return {"op2_decontamination": _OP2, "op10_chat": _OP10, "op12_collocations": _OP12}
