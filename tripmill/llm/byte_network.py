@@ -117,7 +117,7 @@ def fit(texts: list[list[bytes]], labels: list[int], epochs: int = EPOCHS, seed:
     net, rng = initial(seed), np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.items()}
     y = np.array(labels, dtype=np.float32)
-    ones = y.mean() if len(y) else 0.5
+    ones = y.mean() if len(y) else 0
     if not 0 < ones < 1:  # nothing to tell apart: the same score for every text
         net["mean_out"][:], net["max_out"][:] = 0, 0
         net["bias"][:] = 0 if not len(y) else 30 if ones else -30
