@@ -229,10 +229,13 @@ def phrase_frame(spark, rows):
     )
 
 
-@pytest.mark.parametrize("burst, budget, lexicon, part", [(1 << 12, 1 << 20, 1 << 20, 1 << 20), (3, 40, 9, 50)])
-def test_phrases_equal_brute_force(spark, phrase_rows, monkeypatch, burst, budget, lexicon, part):
-    # the second setting bursts, spills, begins anew and reads in parts all the time
-    for name, value in (("BURST", burst), ("BUDGET", budget), ("LEXICON", lexicon), ("PART", part)):
+SMALL = {"BURST": 3, "BUDGET": 40, "LEXICON": 9, "PART": 50, "CHUNK": 30, "PAIRS": 100, "BITS": 6, "PREFIX_BYTES": 8}
+
+
+@pytest.mark.parametrize("sizes", [{}, SMALL])
+def test_phrases_equal_brute_force(spark, phrase_rows, monkeypatch, sizes):
+    # the small sizes burst, spill, begin anew, read in parts and fill the tables all the time
+    for name, value in sizes.items():
         monkeypatch.setattr(phrases, name, value)
     frame = phrase_frame(spark, phrase_rows).repartition(3)
     for least, top in ((5, 20), (12, 1000)):
@@ -261,6 +264,18 @@ def test_trie_counts_bursts_and_spills():
     assert spilled == collections.Counter(keys) and trie.entries == 0
 
 
+def test_runs_of_places_come_back_merged():
+    rng = np.random.default_rng(4)
+    runs, expected = [], collections.Counter()
+    for _ in range(6):
+        places = np.unique(rng.integers(0, 1 << 30, 500) // 100_000 * 100_000).astype(np.uint64)
+        counts = rng.integers(1, 100_000, len(places))
+        runs.append(phrases.pack_run(places, counts))
+        expected.update(dict(zip(places.tolist(), counts.tolist())))
+    places, counts = phrases.merge_runs(runs)
+    assert dict(zip(places.tolist(), counts.tolist())) == expected and (np.diff(places) > 0).all()
+
+
 def test_scores_beyond_64_bits(spark):
     counts = spark.createDataFrame(
         [("en", "a b", 3 * 10**12), ("en", "a", 4 * 10**12), ("en", "b", 5 * 10**12)],

@@ -3,20 +3,23 @@
 A task counts phrases of word ids in a HAT-trie: a shallow trie over the first word ids whose
 leaves are hash containers; a container that grows too large bursts into a trie node. When the
 tries of a task hold too many entries, whole subtrees leave as runs sorted by phrase and their
-memory is free again. Spark merges the runs per prefix partition: a phrase's first two words and
-a salt decide the partition, so a frequent prefix is spread over SALTS of them.
-
-Three passes: words; pairs of frequent words; phrases of three to five words whose pairs are all
-frequent. A phrase is never more frequent than its parts, so nothing is lost. What is frequent
-enters a pass as a table of 2^BITS bits (8 MB whatever the corpus is): a bit that two phrases
-share makes a task count one that the sum then drops, so a full table costs time, not results.
+memory is free again. The runs are merged per prefix partition: a phrase's first two words and a
+salt decide the partition, so a frequent prefix is spread over SALTS of them.
+
+Two passes. The first counts all words, and all pairs of words by their place among 2^PLACE
+hashes: sorted runs of places that are merged per prefix too and take three bytes an entry. The
+second counts phrases of two to five words in tries, if their words and the places of their pairs
+are frequent. A phrase is never more frequent than its parts, so nothing is lost, and counts are
+of words, not of hashes. What is frequent enters the second pass as two tables of 2^BITS bits (8
+MB each whatever the corpus is): a bit that two share makes a task count a phrase which the sum
+then drops, so a full table costs time, not results.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +30,11 @@ MIN_COUNT, TOP, LONGEST = 100, 2000, 5
 BURST, BUDGET = 1 << 12, 1 << 20
 #: Different words that a task knows of one language before it begins anew.
 LEXICON = 1 << 20
-#: Words that are counted together, and bytes of a text that are read together.
-CHUNK, PART = 1 << 18, 1 << 20
-BITS, SALTS = 26, 16
+#: Words that are counted together, pairs that make a run, bytes of a text that are read together.
+CHUNK, PAIRS, PART = 1 << 19, 1 << 22, 1 << 20
+PLACE, BITS, SALTS = 40, 26, 16
+#: Bytes of text whose pairs share a prefix partition, and least bits of a prefix.
+PREFIX_BYTES, LEAST_PREFIX = 1 << 26, 10
 UNKNOWN_LANGUAGE = "und"
 
 #: Lower-cases A-Z, makes every end of a piece a full stop and every tab a blank.
@@ -37,6 +42,9 @@ END = b"."
 _PIECES = LOWER.translate(bytes(b"."[0] if chr(c) in ".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
                                 for c in range(256)))
 COUNTS = "lang string, phrase string, n bigint"
+RUNS = "key bigint, lang string, phrase string, n bigint, run binary"
+#: A merged count of a phrase, or the place of a frequent pair.
+MERGED = "lang string, phrase string, n bigint, place bigint"
 _MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -110,14 +118,14 @@ class _Lexicon(dict):
     """Word to id from 1, or to 0 where the known words lack it. The end of a piece is 0."""
 
     def __init__(self, lang: str, known: bytes | None):
-        self.lang, self.known = lang.encode() + b"\0", known
+        self.lang, self.known = lang, known
         self.words, self.hashes = [END], [0]
         self[END] = 0
 
     def __missing__(self, word: bytes) -> int:
         h = word_hash(self.lang, word)
         found = 0
-        if self.known is None or _has(self.known, h * _MIX[1] % 2**64 >> 64 - BITS):
+        if self.known is None or _has(self.known, h >> 64 - BITS):
             found = len(self.words)
             self.words.append(word)
             self.hashes.append(h)
@@ -125,8 +133,8 @@ class _Lexicon(dict):
         return found
 
 
-def word_hash(lang: bytes, word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(lang + word, digest_size=8).digest(), "little")
+def word_hash(lang: str, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang.encode()))
 
 
 def _has(bits: bytes, position: int) -> bool:
@@ -134,22 +142,56 @@ def _has(bits: bytes, position: int) -> bool:
 
 
 def pair_places(first, second):
-    """Places in the table of pairs, from arrays of the words' hashes."""
+    """The places of pairs among 2^PLACE, from arrays of their words' hashes."""
     import numpy as np
 
     mixed = (first * np.uint64(_MIX[0]) + second) * np.uint64(_MIX[1])
-    return mixed >> np.uint64(64 - BITS)
+    return mixed >> np.uint64(64 - PLACE)
+
+
+def pack_run(places, counts) -> bytes:
+    """Sorted places below 2^32 and their counts: the steps between places byte by byte, the low
+    ones first, so that the high bytes, mostly zero, stand together and compress; then counts."""
+    import numpy as np
+
+    steps = np.diff(places, prepend=places.dtype.type(0)).astype("<u4")
+    planes = steps.view(np.uint8).reshape(-1, 4).T
+    return planes.tobytes() + counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpack_run(run: bytes):
+    import numpy as np
+
+    planes = np.frombuffer(run, np.uint8).reshape(8, -1)
+    steps, counts = (np.ascontiguousarray(x.T).view("<u4").reshape(-1) for x in (planes[:4], planes[4:]))
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+
+
+def merge_runs(runs: list[bytes]):
+    """(places, counts) of runs of one prefix, each place once."""
+    import numpy as np
+
+    places, counts = (np.concatenate(x) for x in zip(*map(unpack_run, runs)))
+    order = np.argsort(places, kind="stable")
+    places, counts = places[order], counts[order]
+    first = np.flatnonzero(np.diff(places, prepend=places[0] + np.uint64(1)))
+    return places[first], np.add.reduceat(counts, first)
 
 
 class _Language:
-    """What a task holds of one language: its words, its trie and ids not counted yet."""
+    """What a task holds of one language: its words, its trie and ids not counted yet.
+
+    Without tables (the first pass) words are counted by id, and pairs are handed on by place;
+    with them phrases of two to LONGEST words go into the trie.
+    """
 
-    def __init__(self, lang: str, lengths: range, words: bytes | None, pairs: bytes | None):
-        self.lang, self.lengths, self.known, self.pairs = lang, lengths, words, pairs
-        self.lexicon = _Lexicon(lang, words)
-        self.trie = HatTrie(max(1, min(2, lengths[0] - 1)))
+    def __init__(self, lang: str, tables: tuple[bytes, bytes] | None):
+        self.lang, self.tables = lang, tables
+        self.lexicon = _Lexicon(lang, tables and tables[0])
+        self.trie = HatTrie(depth=2)
         self.waiting: list = []
         self.n_waiting = 0
+        self.places: list = []
 
     def read(self, text: bytes) -> None:
         import numpy as np
@@ -163,7 +205,7 @@ class _Language:
             self.count()
 
     def count(self) -> None:
-        """Move the waiting ids' phrases into the trie."""
+        """Count what is waiting."""
         import numpy as np
 
         if not self.waiting:
@@ -171,40 +213,30 @@ class _Language:
         ids = np.concatenate(self.waiting)
         self.waiting, self.n_waiting = [], 0
         linked = (ids[:-1] > 0) & (ids[1:] > 0)
-        if self.pairs is not None:
-            hashes = np.array(self.lexicon.hashes, dtype=np.uint64)[ids]
-            table = np.frombuffer(self.pairs, np.uint8)
-            place = pair_places(hashes[:-1], hashes[1:])
-            linked &= (table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
-        for m in self.lengths:
-            if m == 1:
-                start = np.flatnonzero(ids > 0)
-            else:
-                joined = linked[: len(ids) - m + 1].copy()
-                for k in range(1, m - 1):
-                    joined &= linked[k : len(ids) - m + 1 + k]
-                start = np.flatnonzero(joined)
-            if len(start):
-                self._add(ids, start, m)
-
-    def _add(self, ids, start, m: int) -> None:
-        import numpy as np
-
-        add = self.trie.add
-        if m <= 2:  # both ids in one integer, which sorts much faster than rows
-            key = ids[start] if m == 1 else ids[start] << 32 | ids[start + 1]
-            keys, counts = np.unique(key, return_counts=True)
-            if m == 1:
-                for a, n in zip(keys.tolist(), counts.tolist()):
-                    add((a,), n)
-            else:
-                for a, b, n in zip((keys >> 32).tolist(), (keys & 0xFFFFFFFF).tolist(), counts.tolist()):
-                    add((a, b), n)
+        hashes = np.array(self.lexicon.hashes, dtype=np.uint64)[ids]
+        places = pair_places(hashes[:-1], hashes[1:])
+        if self.tables is None:
+            self.places.append(places[linked])
+            counts = np.bincount(ids)
+            for i in np.flatnonzero(counts[1:]).tolist():
+                self.trie.add((i + 1,), int(counts[i + 1]))
             return
-        rows = ids[start[:, None] + np.arange(m)]
-        keys, counts = np.unique(rows, axis=0, return_counts=True)
-        for key, n in zip(keys.tolist(), counts.tolist()):
-            add(tuple(key), n)
+        table, bit = np.frombuffer(self.tables[1], np.uint8), places >> np.uint64(PLACE - BITS)
+        linked &= (table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        shift = int(ids.max()).bit_length()
+        joined, number = linked, ids  # number: of the phrase but for its last word
+        for m in range(2, LONGEST + 1):
+            start = np.flatnonzero(joined)
+            if not len(start):
+                return
+            key = number[start] << shift | ids[start + m - 1]
+            _, first, which, counts = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            phrases = ids[start[first][:, None] + np.arange(m)]
+            for phrase, n in zip(phrases.tolist(), counts.tolist()):
+                self.trie.add(tuple(phrase), n)
+            number = np.zeros(len(ids), np.int64)
+            number[start] = which
+            joined = joined[:-1] & linked[m - 1 :]
 
     def run(self, keep: int = 0) -> list[tuple[bytes, int]]:
         """Spilled subtrees as one run, sorted by phrase."""
@@ -223,104 +255,180 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _runs(texts: DataFrame, lengths: range, words: bytes | None, pairs: bytes | None) -> DataFrame:
-    """(lang, phrase, n) per run: what the tasks counted of phrases of these lengths."""
-    context = texts.sparkSession.sparkContext
-    tables = [None if t is None else context.broadcast(t) for t in (words, pairs)]
+def _runs(texts: DataFrame, prefix_bits: int, tables: tuple[bytes, bytes] | None) -> DataFrame:
+    """RUNS of what the tasks counted: phrases with n, and of the first pass pairs by prefix."""
+    held = texts.sparkSession.sparkContext.broadcast(tables)
 
     def count(batches):
-        known = [None if t is None else t.value for t in tables]
+        import pyarrow as pa
+
+        known = held.value
         languages: dict[str, _Language] = {}
 
         def emit(language: _Language, keep: int = 0):
             run = language.run(keep)
             for at in range(0, len(run), 1 << 15):
-                yield _run_batch(language.lang, run[at : at + (1 << 15)])
+                yield _phrase_batch(language.lang, run[at : at + (1 << 15)])
 
-        for batch in batches:
-            import pyarrow as pa
+        def emit_pairs():
+            found = [x for language in languages.values() for x in language.places]
+            for language in languages.values():
+                language.places = []
+            if found:
+                yield _pair_batch(found, prefix_bits)
 
+        for batch in batches:
             texts_ = batch.column("text").cast(pa.binary())
             for lang, text in zip(batch.column("lang").to_pylist(), texts_):
                 language = languages.get(lang)
                 if language is None:
-                    language = languages[lang] = _Language(lang, lengths, *known)
+                    language = languages[lang] = _Language(lang, known)
                 for part in _parts(text.as_py()):
                     language.read(part)
                     if len(language.lexicon) > LEXICON:
                         language.count()
                         yield from emit(language)
-                        language = languages[lang] = _Language(lang, lengths, *known)
+                        yield from emit_pairs()
+                        language = languages[lang] = _Language(lang, known)
                 if sum(x.trie.entries + x.n_waiting for x in languages.values()) > BUDGET:
                     for x in languages.values():
                         x.count()
-                    held = sum(x.trie.entries for x in languages.values())
+                    over = sum(x.trie.entries for x in languages.values()) - BUDGET // 2
                     for x in languages.values():
-                        if held > BUDGET // 2:
-                            keep = max(0, x.trie.entries - (held - BUDGET // 2))
-                            held -= x.trie.entries
-                            yield from emit(x, keep)
-                            held += x.trie.entries
+                        if over > 0:
+                            before = x.trie.entries
+                            yield from emit(x, max(0, before - over))
+                            over -= before - x.trie.entries
+                if sum(len(p) for x in languages.values() for p in x.places) > PAIRS:
+                    yield from emit_pairs()
         for language in languages.values():
             language.count()
             yield from emit(language)
+        yield from emit_pairs()
+
+    return texts.mapInArrow(count, RUNS)
+
+
+def _batch(**columns):
+    import pyarrow as pa
 
-    return texts.mapInArrow(count, COUNTS)
+    kinds = {"key": pa.int64(), "lang": pa.string(), "phrase": pa.string(), "n": pa.int64(), "run": pa.binary()}
+    rows = max(map(len, columns.values()))
+    arrays = [columns.get(name, pa.nulls(rows, kind)) for name, kind in kinds.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(kinds))
 
 
-def _run_batch(lang: str, run: list[tuple[bytes, int]]):
+def _phrase_batch(lang: str, run: list[tuple[bytes, int]]):
     import pyarrow as pa
 
     phrases, counts = zip(*run)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(run)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts)],
-        names=["lang", "phrase", "n"],
-    )
+    phrases = pa.array(phrases, pa.binary()).cast(pa.string())
+    return _batch(lang=pa.array([lang] * len(run)), phrase=phrases, n=pa.array(counts, pa.int64()))
 
 
-# ---- plan
+def _pair_batch(found: list, prefix_bits: int):
+    """One run per prefix of the places found, keyed below zero."""
+    import numpy as np
+    import pyarrow as pa
 
+    places, counts = np.unique(np.concatenate(found), return_counts=True)
+    prefixes = places >> np.uint64(PLACE - prefix_bits)
+    edges = np.flatnonzero(np.diff(prefixes, prepend=prefixes[:1] + np.uint64(1))).tolist() + [len(places)]
+    rest = places & np.uint64((1 << PLACE - prefix_bits) - 1)
+    runs = [pack_run(rest[a:b], counts[a:b]) for a, b in zip(edges, edges[1:])]
+    keys = [-1 - int(prefixes[a]) for a in edges[:-1]]
+    return _batch(key=pa.array(keys, pa.int64()), run=pa.array(runs, pa.binary()))
 
-def _merged(runs: DataFrame) -> DataFrame:
-    """(lang, phrase, n): the runs of all tasks summed within their prefix partitions."""
-    keys = ["lang", "prefix", "salt"]
-    dealt = runs.withColumns(
-        {
-            "prefix": F.substring_index("phrase", " ", 2),
-            "salt": F.pmod(F.xxhash64("phrase"), F.lit(SALTS)),
-        }
-    ).repartition(*keys)
-    return dealt.groupBy(*keys, "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+
+# ---- plan
 
 
-def _table(frequent: DataFrame, words: int) -> bytes:
-    """The bits of phrases of one or two words; 2^BITS of them, gathered as blocks of 4 KB."""
+def _merged(runs: DataFrame, prefix_bits: int, min_count: int, all_phrases: bool) -> DataFrame:
+    """MERGED from the runs of all tasks, each prefix partition by itself.
 
-    def places(batches):
+    Phrases are summed as they come in order; a prefix of pairs is held by itself. Those under
+    min_count are left out, but phrases (then words) only unless all_phrases.
+    """
+    prefix = F.xxhash64("lang", F.substring_index("phrase", " ", 2))
+    salted = F.xxhash64(prefix, F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    # phrases share the partitions of 2^20 keys; keys below zero are pairs
+    dealt = runs.withColumn("key", F.coalesce("key", F.shiftrightunsigned(salted, 44)))
+
+    def merge(batches):
         import numpy as np
         import pyarrow as pa
 
+        least = 1 if all_phrases else min_count
+        key, pending = None, []
+        last, total = None, 0
+        done: list[tuple] = []
+
+        def close_pairs():
+            if pending:
+                places, counts = merge_runs(pending)
+                often = places[counts >= min_count].astype(np.int64)
+                offset = (-1 - key) << (PLACE - prefix_bits)
+                done.extend((None, None, None, int(p) + offset) for p in often)
+                pending.clear()
+
+        def batch_of(rows):
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = pa.string(), pa.string(), pa.int64(), pa.int64()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "phrase", "n", "place"]
+            )
+
+        names = ("key", "lang", "phrase", "n", "run")
         for batch in batches:
-            hashes = [
-                [word_hash(lang.encode() + b"\0", w.encode()) for w in phrase.split(" ")]
-                for lang, phrase in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")))
-            ]
-            h = np.array(hashes, dtype=np.uint64).reshape(-1, words)
-            place = pair_places(h[:, 0], h[:, 1]) if words == 2 else h[:, 0] * np.uint64(_MIX[1]) >> np.uint64(64 - BITS)
-            # bitmap functions count from one
-            yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64) + 1)], names=["place"])
-
-    blocks = (
-        frequent.mapInArrow(places, "place bigint")
-        .groupBy(F.bitmap_bucket_number("place").alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+            for k, lang, phrase, n, run in zip(*(batch.column(c).to_pylist() for c in names)):
+                if k < 0:
+                    if k != key:
+                        close_pairs()
+                        key = k
+                    pending.append(run)
+                    continue
+                if (lang, phrase) != last:
+                    if total >= least:
+                        done.append((*last, total, None))
+                    last, total = (lang, phrase), 0
+                total += n
+            if len(done) > 1 << 15:
+                yield batch_of(done)
+                done.clear()
+        close_pairs()
+        if last is not None and total >= least:
+            done.append((*last, total, None))
+        yield batch_of(done)
+
+    ordered = dealt.repartition("key").sortWithinPartitions("key", "lang", "phrase")
+    return ordered.mapInArrow(merge, MERGED)
+
+
+def _table(bits: DataFrame) -> bytes:
+    """2^BITS bits from rows of (bit); they reach the driver as blocks of 4 KB."""
+    # bitmap functions count from one
+    place = F.col("bit") + 1
+    blocks = bits.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
     table = bytearray(1 << BITS - 3)
-    for block, bits in blocks.collect():
-        table[(block - 1) * len(bits) : block * len(bits)] = bits
+    for block, held in blocks.collect():
+        table[(block - 1) * len(held) : block * len(held)] = held
     return bytes(table)
 
 
+def _word_bits(words: DataFrame) -> DataFrame:
+    def find(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")))
+            found = [word_hash(lang, word.encode()) >> 64 - BITS for lang, word in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], names=["bit"])
+
+    return words.select("lang", "phrase").mapInArrow(find, "bit bigint")
+
+
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, n) of all phrases of up to five words with n >= min_count, (lang, n) of
     all word occurrences). Counts are per language and exact; phrases do not cross pieces."""
@@ -328,13 +436,16 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
         F.coalesce("lang", F.lit(UNKNOWN_LANGUAGE)).alias("lang"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    often = F.col("n") >= min_count
-    words = stored(_merged(_runs(texts, range(1, 2), None, None)), "words")
-    frequent = words.filter(often)
-    known = _table(frequent, 1)
-    pairs = stored(_merged(_runs(texts, range(2, 3), known, None)).filter(often), "pairs")
-    longer = _merged(_runs(texts, range(3, LONGEST + 1), known, _table(pairs, 2))).filter(often)
-    every = frequent.unionByName(pairs).unionByName(stored(longer, "phrases"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # the more text, the more prefixes, so that one of them stays small
+    bits = max(LEAST_PREFIX, (size // PREFIX_BYTES).bit_length())
+    first = stored(_merged(_runs(texts, bits, None), bits, min_count, True), "words")
+    words = first.filter("phrase is not null").drop("place")
+    frequent = words.filter(F.col("n") >= min_count)
+    pairs = first.filter("place is not null").select(F.shiftright("place", PLACE - BITS).alias("bit"))
+    tables = _table(_word_bits(frequent)), _table(pairs)
+    longer = _merged(_runs(texts, bits, tables), bits, min_count, False).drop("place")
+    every = frequent.unionByName(stored(longer, "phrases"))
     return every, words.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
