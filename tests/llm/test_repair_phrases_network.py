@@ -229,17 +229,15 @@ def phrase_frame(spark, rows):
     )
 
 
-SMALL = {"BURST": 3, "BUDGET": 40, "LEXICON": 9, "PART": 50, "CHUNK": 30, "PAIRS": 100, "BITS": 6, "PREFIX_BYTES": 8}
+SMALL = phrases.Sizes(burst=3, budget=40, lexicon=9, chunk=30, pairs=100, part=50)
 
 
-@pytest.mark.parametrize("sizes", [{}, SMALL])
-def test_phrases_equal_brute_force(spark, phrase_rows, monkeypatch, sizes):
-    # the small sizes burst, spill, begin anew, read in parts and fill the tables all the time
-    for name, value in sizes.items():
-        monkeypatch.setattr(phrases, name, value)
+@pytest.mark.parametrize("sizes", [phrases.Sizes(), SMALL])
+def test_phrases_equal_brute_force(spark, phrase_rows, sizes):
+    # the small sizes burst, spill, begin anew and read in parts all the time
     frame = phrase_frame(spark, phrase_rows).repartition(3)
     for least, top in ((5, 20), (12, 1000)):
-        found = phrases.collocations(frame, least, top).collect()
+        found = phrases.collocations(frame, least, top, sizes).collect()
         assert {tuple(r) for r in found} == phrase_table(phrase_rows, least, top) and len(found) > 10
 
 

@@ -18,6 +18,7 @@ then drops, so a full table costs time, not results.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -26,17 +27,29 @@ from pyspark.sql import functions as F
 from tripmill.llm.common import LOWER, stored
 
 MIN_COUNT, TOP, LONGEST = 100, 2000, 5
-#: Entries of a container that bursts, and of all tries of a task together.
-BURST, BUDGET = 1 << 12, 1 << 20
-#: Different words that a task knows of one language before it begins anew.
-LEXICON = 1 << 20
-#: Words that are counted together, pairs that make a run, bytes of a text that are read together.
-CHUNK, PAIRS, PART = 1 << 19, 1 << 22, 1 << 20
 PLACE, BITS, SALTS = 40, 26, 16
 #: Bytes of text whose pairs share a prefix partition, and least bits of a prefix.
 PREFIX_BYTES, LEAST_PREFIX = 1 << 26, 10
 UNKNOWN_LANGUAGE = "und"
 
+
+@dataclass(frozen=True)
+class Sizes:
+    """What bounds the memory of a task; results do not depend on it.
+
+    burst: entries of a container that bursts. budget: entries of all tries together. lexicon:
+    different words known of one language before it begins anew. chunk: words that are counted
+    together. pairs: pairs that make a run. part: bytes of a text that are read together.
+    """
+
+    burst: int = 1 << 12
+    budget: int = 1 << 20
+    lexicon: int = 1 << 20
+    chunk: int = 1 << 19
+    pairs: int = 1 << 22
+    part: int = 1 << 20
+
+
 #: Lower-cases A-Z, makes every end of a piece a full stop and every tab a blank.
 END = b"."
 _PIECES = LOWER.translate(bytes(b"."[0] if chr(c) in ".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c
@@ -61,7 +74,7 @@ class HatTrie:
     class Node(dict):
         """Word id to a deeper node, or to the container of what follows it."""
 
-    def __init__(self, depth: int, burst: int = BURST):
+    def __init__(self, depth: int, burst: int = Sizes.burst):
         self.depth, self.burst = depth, burst
         self.root = self.Node()
         self.sizes: dict[int, int] = {}  # entries per first id
@@ -185,10 +198,10 @@ class _Language:
     with them phrases of two to LONGEST words go into the trie.
     """
 
-    def __init__(self, lang: str, tables: tuple[bytes, bytes] | None):
-        self.lang, self.tables = lang, tables
+    def __init__(self, lang: str, tables: tuple[bytes, bytes] | None, sizes: Sizes):
+        self.lang, self.tables, self.sizes = lang, tables, sizes
         self.lexicon = _Lexicon(lang, tables and tables[0])
-        self.trie = HatTrie(depth=2)
+        self.trie = HatTrie(2, sizes.burst)
         self.waiting: list = []
         self.n_waiting = 0
         self.places: list = []
@@ -201,7 +214,7 @@ class _Language:
         ids = np.fromiter(map(self.lexicon.__getitem__, tokens), np.int64, len(tokens))
         self.waiting.append(ids)
         self.n_waiting += len(ids)
-        if self.n_waiting >= CHUNK:
+        if self.n_waiting >= self.sizes.chunk:
             self.count()
 
     def count(self) -> None:
@@ -244,18 +257,20 @@ class _Language:
         return sorted((b" ".join([words[i] for i in key]), n) for key, n in self.trie.spill(keep))
 
 
-def _parts(text: bytes) -> Iterator[bytes]:
-    """A text in parts of about PART bytes that end where a piece ends; a piece stays whole."""
+def _parts(text: bytes, size: int) -> Iterator[bytes]:
+    """A text in parts of about `size` bytes that end where a piece ends; a piece stays whole."""
     at = 0
-    while len(text) - at > PART:
-        end = min((k for k in (text.find(c, at + PART) for c in (b".", b",", b"\n", b";", b":", b"!", b"?"))
+    while len(text) - at > size:
+        end = min((k for k in (text.find(c, at + size) for c in (b".", b",", b"\n", b";", b":", b"!", b"?"))
                    if k >= 0), default=len(text))
         yield text[at:end]
         at = end
     yield text[at:]
 
 
-def _runs(texts: DataFrame, prefix_bits: int, tables: tuple[bytes, bytes] | None) -> DataFrame:
+def _runs(
+    texts: DataFrame, prefix_bits: int, tables: tuple[bytes, bytes] | None, sizes: Sizes
+) -> DataFrame:
     """RUNS of what the tasks counted: phrases with n, and of the first pass pairs by prefix."""
     held = texts.sparkSession.sparkContext.broadcast(tables)
 
@@ -282,24 +297,24 @@ def _runs(texts: DataFrame, prefix_bits: int, tables: tuple[bytes, bytes] | None
             for lang, text in zip(batch.column("lang").to_pylist(), texts_):
                 language = languages.get(lang)
                 if language is None:
-                    language = languages[lang] = _Language(lang, known)
-                for part in _parts(text.as_py()):
+                    language = languages[lang] = _Language(lang, known, sizes)
+                for part in _parts(text.as_py(), sizes.part):
                     language.read(part)
-                    if len(language.lexicon) > LEXICON:
+                    if len(language.lexicon) > sizes.lexicon:
                         language.count()
                         yield from emit(language)
                         yield from emit_pairs()
-                        language = languages[lang] = _Language(lang, known)
-                if sum(x.trie.entries + x.n_waiting for x in languages.values()) > BUDGET:
+                        language = languages[lang] = _Language(lang, known, sizes)
+                if sum(x.trie.entries + x.n_waiting for x in languages.values()) > sizes.budget:
                     for x in languages.values():
                         x.count()
-                    over = sum(x.trie.entries for x in languages.values()) - BUDGET // 2
+                    over = sum(x.trie.entries for x in languages.values()) - sizes.budget // 2
                     for x in languages.values():
                         if over > 0:
                             before = x.trie.entries
                             yield from emit(x, max(0, before - over))
                             over -= before - x.trie.entries
-                if sum(len(p) for x in languages.values() for p in x.places) > PAIRS:
+                if sum(len(p) for x in languages.values() for p in x.places) > sizes.pairs:
                     yield from emit_pairs()
         for language in languages.values():
             language.count()
@@ -429,7 +444,9 @@ def _word_bits(words: DataFrame) -> DataFrame:
     return words.select("lang", "phrase").mapInArrow(find, "bit bigint")
 
 
-def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(
+    docs: DataFrame, min_count: int = MIN_COUNT, sizes: Sizes = Sizes()
+) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, n) of all phrases of up to five words with n >= min_count, (lang, n) of
     all word occurrences). Counts are per language and exact; phrases do not cross pieces."""
     texts = docs.select(
@@ -439,12 +456,12 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # the more text, the more prefixes, so that one of them stays small
     bits = max(LEAST_PREFIX, (size // PREFIX_BYTES).bit_length())
-    first = stored(_merged(_runs(texts, bits, None), bits, min_count, True), "words")
+    first = stored(_merged(_runs(texts, bits, None, sizes), bits, min_count, True), "words")
     words = first.filter("phrase is not null").drop("place")
     frequent = words.filter(F.col("n") >= min_count)
     pairs = first.filter("place is not null").select(F.shiftright("place", PLACE - BITS).alias("bit"))
     tables = _table(_word_bits(frequent)), _table(pairs)
-    longer = _merged(_runs(texts, bits, tables), bits, min_count, False).drop("place")
+    longer = _merged(_runs(texts, bits, tables, sizes), bits, min_count, False).drop("place")
     every = frequent.unionByName(stored(longer, "phrases"))
     return every, words.groupBy("lang").agg(F.sum("n").alias("n"))
 
@@ -477,7 +494,9 @@ def _scored(counts: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) -> DataFrame:
+def collocations(
+    docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, sizes: Sizes = Sizes()
+) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases.
 
     Texts are lower-cased (A-Z), cut into pieces at . , ; : ! ? and line ends, and pieces into
@@ -490,7 +509,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     hold no words, an empty table gives no rows, very long texts are read in parts. Only lang and
     text are read.
     """
-    counts, totals = phrase_counts(docs, min_count)
+    counts, totals = phrase_counts(docs, min_count, sizes)
     scored = _scored(counts, totals)
     longer = counts.select("lang", "n", F.split("phrase", " ").alias("w")).filter(F.size("w") > 2)
     size = F.size("w")
