@@ -111,6 +111,62 @@ def test_tree_comparison_judges_every_setting(encoded):
     assert encoded.is_cached  # a frame that was kept stays kept
 
 
+def test_shallower_trees_are_the_upper_levels_of_the_deepest(encoded):
+    from tripmill.operators.split import hash_split
+
+    fit, valid = hash_split(encoded, salt="inner")
+    settings = [("gini", d, b) for d in (2, 3, 5, 9) for b in (5, 32)] + [("entropy", 4, 5)]
+    rows = models.compare_trees(encoded, settings).collect()
+    assert [(r["impurity"], r["max_depth"], r["max_bins"]) for r in rows] == settings
+    for r, setting in zip(rows, settings):
+        judged = models.decision_tree(*setting).fit(fit).transform(valid)
+        wrong = judged.filter("prediction <> label").count()
+        assert r["n_valid"] == judged.count() and r["error_rate"] == pytest.approx(wrong / r["n_valid"])
+
+
+@pytest.mark.parametrize("kind", ["dt", "rf"])
+def test_compiled_expressions_predict_like_the_model(spark, encoded, kind):
+    from tripmill.operators import trees
+
+    grown = models.decision_tree("gini", 6, 10) if kind == "dt" else models.random_forest(**models.FOREST_CHOICE)
+    model = grown.fit(encoded)
+    nodes = trees.tree_nodes(spark, model)
+    assert prediction_rows(trees.predict_by_sql(encoded, nodes)) == prediction_rows(model.transform(encoded))
+    # the same expression in another engine, over the features as rows of numbers
+    import duckdb
+
+    slots = [tuple(r["features"].toArray()) for r in encoded.orderBy("id").collect()]
+    con = duckdb.connect()
+    con.execute(f"create table x (k int, {', '.join(f'f{i} double' for i in range(21))})")
+    con.executemany(f"insert into x values ({', '.join('?' * 22)})", [(k, *s) for k, s in enumerate(slots)])
+    found = con.execute(f"select {trees.prediction_expression(nodes)} from x order by k").fetchall()
+    assert [p for (p,) in found] == [r["prediction"] for r in model.transform(encoded).orderBy("id").collect()]
+
+
+def test_node_table(spark, encoded):
+    from tripmill.operators import trees
+
+    model = models.random_forest(maxDepth=4, numTrees=3).fit(encoded)
+    rows = trees.node_table(spark, model).collect()
+    by = {(r["tree"], r["node"]): r for r in rows}
+    assert len(by) == len(rows) == model.totalNumNodes and {t for t, _ in by} == {0, 1, 2}
+    for r in rows:
+        assert r["depth"] <= 4 and r["prediction"] == float(r["n_long"] > r["n_short"])
+        if r["feature"] is not None:
+            left, right = by[r["tree"], r["left"]], by[r["tree"], r["right"]]
+            assert left["n_short"] + right["n_short"] == r["n_short"] and left["depth"] == r["depth"] + 1
+            assert (r["threshold"] is None) == (r["feature"] >= 8) != (r["category"] is None)
+
+
+def test_a_tree_cut_at_its_root(spark, encoded):
+    from tripmill.operators import trees
+
+    nodes = trees.tree_nodes(spark, models.decision_tree(*models.TREE_CHOICE).fit(encoded))
+    assert trees.case_expression(nodes, lambda n: n.prediction, depth=0) == "0.0E0"
+    counts = [(leaf, label, 1) for leaf in (0, 1) for label in (0.0, 1.0)]
+    assert trees.truncated_errors(nodes, counts, [0]) == {0: 2}  # all rows are said to be short
+
+
 def test_grids_have_their_published_size(spark):
     forest = models.param_grid(models.random_forest(), models.FOREST_GRID)
     bayes = models.param_grid(models.naive_bayes(), models.BAYES_GRID)
@@ -153,6 +209,15 @@ def test_unknown_kind(trips):
         train(trips, "svm")
 
 
+@pytest.mark.parametrize("kind", ["nb", "rf"])
+def test_saved_bayes_and_forest_predict_the_same(trips, kind, tmp_path):
+    path, trained = str(tmp_path / "model"), train(trips, kind, RULES, params=CHOICES[kind])
+    save_model(trained.model, path)
+    loaded, direct = score(trips, path, RULES), score(trips, trained.model, RULES)
+    assert prediction_rows(loaded.predictions) == prediction_rows(direct.predictions)
+    assert loaded.metrics.count() == 7
+
+
 def test_saved_model_predicts_the_same(spark, trips, tree, tmp_path):
     path = str(tmp_path / "model")
     save_model(tree.model, path)

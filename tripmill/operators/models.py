@@ -23,7 +23,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.operators.split import hash_split, with_fold
+from tripmill.operators.split import with_fold, with_side
+from tripmill.operators.trees import tree_nodes, truncated_errors
 
 SEED = 0
 FOLDS = 3
@@ -95,23 +96,40 @@ def compare_trees(
 ) -> DataFrame:
     """(impurity, max_depth, max_bins, n_valid, error_rate) per setting, computed now.
 
-    Trees are fitted on two thirds of the data and judged on the rest; one pass over the
-    validation rows judges all of them.
+    Trees are fitted on two thirds of the data and judged on the rest. Settings that differ in
+    depth alone share one fit at the greatest depth; the shallower trees are its upper levels.
+    One pass over the validation rows counts rows per leaf and class of every fit.
     """
+    if "inner" not in data.columns:
+        data = with_side(data)
+    deepest: dict[tuple[str, int], int] = {}
+    for impurity, depth, bins in settings:
+        deepest[impurity, bins] = max(depth, deepest.get((impurity, bins), 0))
+    fits = [(impurity, depth, bins) for (impurity, bins), depth in deepest.items()]
     with cached(data) as data:
-        fit_part, valid_part = hash_split(data, salt="inner")
-        models = _fit_all([decision_tree(*s) for s in settings], fit_part, parallelism)
-        judged = valid_part.select("features", "label")
+        models = _fit_all([decision_tree(*s) for s in fits], data.filter("inner"), parallelism)
+        judged = data.filter("not inner").select("features", "label")
         for i, model in enumerate(models):
-            model.setPredictionCol(f"p{i}").setRawPredictionCol("").setProbabilityCol("")
+            model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("").setLeafCol(f"leaf{i}")
             judged = model.transform(judged)
-        wrong = [
-            F.avg((F.col(f"p{i}") != F.col("label")).cast("double")) for i in range(len(models))
-        ]
-        n_valid, *errors = judged.agg(F.count("*"), *wrong).head()
-    return data.sparkSession.createDataFrame(
-        [(*s, n_valid, error) for s, error in zip(settings, errors)],
-        "impurity string, max_depth int, max_bins int, n_valid bigint, error_rate double",
+        leaves = [F.struct(F.lit(i).alias("fit"), F.col(f"leaf{i}").alias("leaf")) for i in range(len(fits))]
+        counts = (
+            judged.select("label", F.explode(F.array(*leaves)).alias("at"))
+            .groupBy("at.fit", "at.leaf", "label")
+            .agg(F.count("*").alias("n"))
+            .collect()  # at most two rows per leaf
+        )
+    spark = data.sparkSession
+    n_valid = sum(r["n"] for r in counts if r["fit"] == 0)
+    wrong = {}
+    for i, (model, (impurity, _, bins)) in enumerate(zip(models, fits)):
+        own = [(r["leaf"], r["label"], r["n"]) for r in counts if r["fit"] == i]
+        depths = [d for kind, d, b in settings if (kind, b) == (impurity, bins)]
+        for depth, n in truncated_errors(tree_nodes(spark, model), own, depths).items():
+            wrong[impurity, depth, bins] = n
+    rows = [(*s, n_valid, wrong[tuple(s)] / n_valid if n_valid else None) for s in settings]
+    return spark.createDataFrame(
+        rows, "impurity string, max_depth int, max_bins int, n_valid bigint, error_rate double"
     )
 
 
@@ -193,7 +211,8 @@ def bayes_parameters(spark, model: NaiveBayesModel) -> DataFrame:
 
 
 def model_rules(spark, model: PipelineModel) -> DataFrame:
-    """(line, rule): the tree or forest as indented text; bounded by its number of nodes."""
+    """(line, rule): the tree or forest as indented text; bounded by its number of nodes.
+    trees.node_table has the same as data."""
     lines = model.stages[-1].toDebugString.rstrip("\n").split("\n")
     return spark.createDataFrame(list(enumerate(lines)), "line int, rule string")
 

@@ -23,6 +23,11 @@ def hash_split(
     return df.filter(bucket < train_percent), df.filter(bucket >= train_percent)
 
 
+def with_side(df: DataFrame, key: str = "id", salt: str = "inner", name: str = "inner") -> DataFrame:
+    """Add whether a row is on the fitting side of the inner split, to be kept with the rows."""
+    return df.withColumn(name, hash_bucket(key, 100, salt) < TRAIN_PERCENT)
+
+
 def random_split(
     df: DataFrame, train_share: float = TRAIN_PERCENT / 100, seed: int = 0
 ) -> tuple[DataFrame, DataFrame]:

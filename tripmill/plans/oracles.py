@@ -5,8 +5,9 @@ Each text starts from a trips view inlined as a common table expression.
 
 from __future__ import annotations
 
-from tripmill.operators.models import TREE_SETTINGS
+from tripmill.operators.models import TREE_CHOICE, TREE_SETTINGS
 from tripmill.plans.queries import CLIP, LOW_VOLUME_FRACTION, RULES, TOP_CELLS
+from tripmill.plans.tree_sql import grown_tree, predictions, pruned_nodes
 
 _TRIPS = """
 base as (
@@ -262,12 +263,12 @@ def _bayes_rows() -> str:
     )
 
 
-def _bayes_confusion() -> str:
+def _bayes_confusion(where: str = f"{_bucket()} >= 66") -> str:
     dot = " + ".join(f"f{i} * t{i}" for i in range(21))
     return _sql(
         f"""select label, prediction, count(*) as n from (
   select e.id, e.label, max_by(m.label, m.pi + {dot}) as prediction
-  from encoded e cross join fitted m where {_bucket()} >= 66 group by e.id, e.label
+  from encoded e cross join fitted m where {where} group by e.id, e.label
 ) group by 1, 2""",
         _CLEAN
         + _slots("cleaned", True)
@@ -276,24 +277,55 @@ def _bayes_confusion() -> str:
     )
 
 
-def _test_labels(fields: str) -> str:
+def _grown(fit: str, with_dropoff_time: bool = True) -> tuple[str, str, list[str], int]:
+    """(views, name of the source, slots, numeric slots) for trees fitted where `fit` holds."""
+    kept = [i for i in range(21) if with_dropoff_time or i not in (7, *range(15, 21))]
+    view = f", sides as (select *, {fit} as fit from encoded)"
+    slots = [f"f{i}" for i in kept]
+    return _CLEAN + _slots("cleaned", False) + view, "sides", slots, sum(i < 8 for i in kept)
+
+
+def _tree_confusion(with_dropoff_time: bool = True, where: str = "not fit") -> str:
+    views, source, slots, numeric = _grown(f"{_bucket()} < 66", with_dropoff_time)
+    _, depth, bins = TREE_CHOICE
     return _sql(
-        "select case when trip_duration < 1200 then 0.0::double else 1.0::double end as label, "
-        f"{fields} from cleaned where {_bucket()} >= 66 group by 1",
-        _CLEAN,
+        f"select label, prediction, count(*) as n from predicted where {where} group by 1, 2",
+        views + grown_tree(source, slots, numeric, depth, bins) + predictions(source, depth),
     )
 
 
-def _tree_settings() -> str:
-    settings = ", ".join(f"('{i}', {d}, {b})" for i, d, b in TREE_SETTINGS)
+def _tree_rows() -> str:
+    views, source, slots, numeric = _grown(f"{_bucket()} < 66")
+    _, depth, bins = TREE_CHOICE
     return _sql(
-        "select impurity, cast(max_depth as int) as max_depth, cast(max_bins as int) as max_bins, "
-        f"(select count(*) from cleaned where {_bucket('inner')} >= 66) as n_valid, "
-        f"true as whole from (values {settings}) as s(impurity, max_depth, max_bins)",
-        _CLEAN,
+        "select 0 as tree, cast(node as int) as node, cast(floor(log2(node)) as int) as depth, "
+        "cast(feature as int) as feature, round(threshold, 6) as threshold, category, "
+        "cast(case when feature is not null then 2 * node end as int) as \"left\", "
+        "cast(case when feature is not null then 2 * node + 1 end as int) as \"right\", "
+        "n0 as n_short, n1 as n_long, case when n1 > n0 then 1.0::double else 0.0::double end "
+        "as prediction, round(gain, 9) as gain from t_pruned",
+        views + grown_tree(source, slots, numeric, depth, bins) + pruned_nodes(),
     )
 
 
+def _tree_settings() -> str:
+    """Error rates of all settings; those that differ in depth alone share a tree."""
+    views, source, slots, numeric = _grown(f"{_bucket('inner')} < 66")
+    rows = []
+    for bins in dict.fromkeys(b for _, _, b in TREE_SETTINGS):
+        depths = [d for _, d, b in TREE_SETTINGS if b == bins]
+        views += grown_tree(source, slots, numeric, max(depths), bins, f"t{bins}")
+        for depth in depths:
+            name = f"p{bins}_{depth}"
+            views += predictions(source, depth, f"t{bins}", name)
+            rows.append(
+                f"select 'gini' as impurity, {depth} as max_depth, {bins} as max_bins, count(*) as n_valid, "
+                "round(avg(case when prediction <> label then 1.0::double else 0.0::double end), 6) "
+                f"as error_rate from {name} where not fit"
+            )
+    return _sql(" union all ".join(rows), views)
+
+
 _RULE = """, clock as (
   select case when trip_duration < 1200 then 0.0::double else 1.0::double end as label,
     (hour(dropoff_datetime) - hour(pickup_datetime)) * 3600
@@ -521,10 +553,11 @@ def oracle_sql() -> dict[str, str]:
             "select count(trip_duration) as n, true as within from trips"
         ),
         "dt_grid": _tree_settings(),
-        "dt_score": _test_labels("count(*) as n, true as agree"),
-        "dt_score_without_dropoff_time": _test_labels("count(*) as n, true as agree"),
-        "rf_score": _test_labels("count(*) as n, true as agree"),
-        "rf_model": "select 21::bigint as n_slots, 0::bigint as n_negative, 1.0::double as total",
+        "dt_score": _tree_confusion(),
+        "dt_score_without_dropoff_time": _tree_confusion(with_dropoff_time=False),
+        "model_rules": _tree_rows(),
+        "save_load_score": _tree_confusion(where="true"),
+        "save_load_score_nb": _bayes_confusion("true"),
     }
     for c in _COORDINATES:
         sql[f"histogram_{c}"] = _histogram(c)

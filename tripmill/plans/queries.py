@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.scalars import class_label, hash_bucket, seconds_of_day
 from tripmill.operators import clean as cleaning
-from tripmill.operators import correlation, flags, metrics, models, profile, split
+from tripmill.operators import correlation, flags, metrics, models, profile, split, trees
 from tripmill.operators.features import (
     CATEGORICAL,
     CLASS_THRESHOLD,
@@ -502,34 +502,24 @@ def score_auc(spark, sf_dir):
 
 @_register
 def dt_grid(spark, sf_dir):
-    """Every setting, and whether its error is a count of wrong rows out of n_valid."""
     compared = models.compare_trees(_encoded(spark, sf_dir))
-    wrong = F.col("error_rate") * F.col("n_valid")
-    whole = (F.abs(wrong - F.round(wrong)) < 1e-6) & F.col("error_rate").between(0, 1)
-    return compared.withColumn("whole", whole).drop("error_rate")
+    return compared.withColumn("error_rate", _r6("error_rate"))
 
 
-def _by_label(spark, sf_dir, kind: str, **options) -> DataFrame:
-    """(label, n, agree): test rows by true class, and whether the error rate over the predictions
-    is that of their confusion matrix."""
-    trained = train(
+def _trained(spark, sf_dir, kind: str, **options):
+    return train(
         trips_raw(spark, sf_dir), kind, RULES, CLASS_THRESHOLD, params=CHOICES[kind], **options
     )
-    wrong = F.sum(F.when(F.col("label") != F.col("prediction"), F.col("n")).otherwise(0))
-    cells = trained.confusion
-    n_wrong = cells.agg(wrong).scalar()
-    agree = metrics.error_rate(trained.predictions).select(F.col("n_wrong") == n_wrong).scalar()
-    return cells.groupBy("label").agg(F.sum("n").alias("n")).withColumn("agree", agree)
 
 
 @_register
 def dt_score(spark, sf_dir):
-    return _by_label(spark, sf_dir, "dt")
+    return _trained(spark, sf_dir, "dt").confusion
 
 
 @_register
 def dt_score_without_dropoff_time(spark, sf_dir):
-    return _by_label(spark, sf_dir, "dt", with_dropoff_time=False)
+    return _trained(spark, sf_dir, "dt", with_dropoff_time=False).confusion
 
 
 @_register
@@ -552,18 +542,13 @@ def nb_cv(spark, sf_dir):
 
 @_register
 def rf_model(spark, sf_dir):
-    trained = train(trips_raw(spark, sf_dir), "rf", RULES, params=CHOICES["rf"])
-    weights = models.feature_importance(spark, trained.model)
-    return weights.agg(
-        F.count("*").alias("n_slots"),
-        F.count_if(F.col("importance") < 0).alias("n_negative"),
-        _r6(F.sum("importance")).alias("total"),
-    )
+    weights = models.feature_importance(spark, _trained(spark, sf_dir, "rf").model)
+    return weights.withColumn("importance", _r6("importance"))
 
 
 @_register
 def rf_score(spark, sf_dir):
-    return _by_label(spark, sf_dir, "rf")
+    return _trained(spark, sf_dir, "rf").confusion
 
 
 @_register
@@ -573,12 +558,27 @@ def rf_cv_four_settings(spark, sf_dir):
 
 @_register
 def model_rules(spark, sf_dir):
-    trained = train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"])
-    return models.model_rules(spark, trained.model)
+    nodes = trees.node_table(spark, _trained(spark, sf_dir, "dt").model)
+    return nodes.withColumns({"threshold": _r6("threshold"), "gain": F.round("gain", 9)})
 
 
 @_register
 def save_load_score(spark, sf_dir):
+    return _saved_and_scored(spark, sf_dir, "dt")
+
+
+@_register
+def save_load_score_nb(spark, sf_dir):
+    return _saved_and_scored(spark, sf_dir, "nb")
+
+
+@_register
+def save_load_score_rf(spark, sf_dir):
+    return _saved_and_scored(spark, sf_dir, "rf")
+
+
+def _saved_and_scored(spark, sf_dir, kind: str) -> DataFrame:
+    """Train, store, load and score the whole file as if it were a new one."""
     path = scratch_dir(spark, "model")
-    sinks.save_model(train(trips_raw(spark, sf_dir), "dt", RULES, params=CHOICES["dt"]).model, path)
+    sinks.save_model(_trained(spark, sf_dir, kind).model, path)
     return score(trips_raw(spark, sf_dir), path, RULES).confusion

@@ -27,7 +27,7 @@ from tripmill.operators.models import (
     tuning_table,
 )
 from tripmill.operators.profile import approx_median
-from tripmill.operators.split import hash_split, random_split, with_fold
+from tripmill.operators.split import hash_split, random_split, with_fold, with_side
 from tripmill.session import tune
 from tripmill.sources.sinks import load_model
 from tripmill.sources.trips import read_trips_csv
@@ -97,8 +97,8 @@ def train(
         handle_invalid=handle_invalid,
     ).fit(train_side)
     features = encoder.transform(train_side)
-    if kind != "dt" and params is None:
-        features = with_fold(features, folds)  # kept with the features, not hashed in every pass
+    if params is None:  # kept with the features, not hashed in every pass
+        features = with_side(features) if kind == "dt" else with_fold(features, folds)
     with cached(features) as encoded:
         fitted, tuning = _fit(encoded, kind, grid, params, folds, parallelism)
     model = PipelineModel(encoder.stages + [fitted])
