@@ -98,6 +98,41 @@ def test_bayes_parameters_follow_the_formula(spark, trips):
         assert (r["theta"], r["pi"]) == (pytest.approx(theta), pytest.approx(pi))
 
 
+def test_bayes_from_sums_equals_separate_fits(trips):
+    from pyspark.ml.functions import vector_to_array
+
+    from tripmill.operators import bayes, metrics
+    from tripmill.operators.split import with_fold
+
+    rows = feature_pipeline(shift=True).fit(trips).transform(trips)
+    data = with_fold(rows, 3).persist()
+    table, folds, chosen = bayes.tune_bayes(data, models.BAYES_GRID)
+    found = {(r["params"], r["fold"]): r["auc"] for r in folds.collect()}
+    assert len(found) == 18
+    for kind, smoothing in (("multinomial", 1.0), ("complement", 100.0)):
+        for fold in range(3):
+            model = models.naive_bayes(modelType=kind, smoothing=smoothing).fit(data.filter(f"fold <> {fold}"))
+            raw = vector_to_array("rawPrediction")
+            scored = model.transform(data.filter(f"fold = {fold}")).select("label", (raw[1] - raw[0]).alias("s"))
+            area = metrics.auc_roc(scored, "s").head()[0]
+            assert found[f"modelType={kind}, smoothing={smoothing}", fold] == pytest.approx(area, abs=1e-9)
+    tuned = models.cross_validate(models.naive_bayes(), models.BAYES_GRID, data)
+    for r, mean in zip(table.collect(), tuned.avgMetrics):
+        assert r["avg_auc"] == pytest.approx(mean, abs=5e-3)  # that one puts scores into 1,000 bins
+    best = max(table.collect(), key=lambda r: r["avg_auc"])
+    assert best["chosen"] and bayes.setting_names({k: [v] for k, v in chosen.items()}) == [best["params"]]
+
+
+def test_bayes_tuning_needs_both_classes_in_every_fold(trips):
+    from tripmill.operators import bayes
+    from tripmill.operators.split import with_fold
+
+    rows = feature_pipeline(shift=True).fit(trips).transform(trips)
+    data = with_fold(rows, 3).filter("label = 0 or fold = 1")
+    with pytest.raises(ValueError, match="both classes"):
+        bayes.tune_bayes(data, {"modelType": ["multinomial"], "smoothing": [1.0]})
+
+
 def test_tree_fits_repeat(encoded):
     first = models.decision_tree(*models.TREE_CHOICE).fit(encoded).toDebugString
     again = models.decision_tree(*models.TREE_CHOICE).fit(encoded).toDebugString

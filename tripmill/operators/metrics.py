@@ -8,6 +8,8 @@ published that way round.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,45 +77,66 @@ def metric_report(predictions: DataFrame, swap: bool = False) -> DataFrame:
     return metrics_from_confusion(confusion_matrix(predictions, swap))
 
 
-def score_counts(predictions: DataFrame, score: str = "prediction") -> DataFrame:
-    """(score, pos, neg) per distinct score."""
+def score_counts(
+    predictions: DataFrame, score: str = "prediction", keys: Sequence[str] = ()
+) -> DataFrame:
+    """(keys, score, pos, neg) per distinct score."""
     # not count_if: it gives every use its own names, and the shuffles would not be shared
-    return predictions.groupBy(F.col(score).cast("double").alias("score")).agg(
+    return predictions.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
         F.count(F.when(F.col("label") == 1.0, 1)).alias("pos"),
         F.count(F.when(F.col("label") != 1.0, 1)).alias("neg"),
     )
 
 
-def running_counts(counts: DataFrame, slices: int = 1) -> DataFrame:
-    """Exact cumulative counts by falling score, from rows of (score, pos, neg).
+def _place(edges: Column, score: Column, most: int) -> Column:
+    """How many of at most `most` sorted edges lie below a score, by bisection."""
+    steps = [1 << k for k in reversed(range(most.bit_length()))]
+
+    def onward(at: Column, step: Column) -> Column:
+        further = at + step
+        # a step past the end gives null, which is not below
+        below = F.coalesce(F.get(edges, further - 1) < score, F.lit(False))
+        return F.when(below, further).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), onward)
+
+
+def running_counts(counts: DataFrame, slices: int = 1, keys: Sequence[str] = ()) -> DataFrame:
+    """Exact cumulative counts by falling score, from rows of (keys, score, pos, neg).
 
     Gives point (1 for the highest score), points (their number), pos, neg, tp and fp (counts at
-    or above the score) and the totals p and n. With slices > 1 the distinct scores are cut at
-    their quantiles: each slice is summed by itself and lifted by the totals of the slices above
-    it, so no task sees all scores.
+    or above the score) and the totals p and n, all per group of keys. With slices > 1 the
+    distinct scores of a group are cut at their quantiles: each slice is summed by itself and
+    lifted by the totals of the slices above it, so no task sees all scores.
     """
-    everything = Window.partitionBy()
+    keys = list(keys)
+    everything = Window.partitionBy(*keys)
     if slices == 1:
         placed = counts.withColumns(
             {"k0": F.lit(0), "pos0": F.lit(0), "neg0": F.lit(0)}
             | {"points": F.count("*").over(everything)}
             | {"p": F.sum("pos").over(everything), "n": F.sum("neg").over(everything)}
         )
-        order = Window.orderBy(F.desc("score"))
+        order = everything.orderBy(F.desc("score"))
     else:
         cuts = [i / slices for i in range(1, slices)]
         # asking for pos and neg keeps this the same aggregation as below, so it runs only once
         occurring = counts.filter(F.col("pos") + F.col("neg") > 0)
-        edges = occurring.agg(F.percentile_approx("score", cuts, 10 * slices)).scalar()
-        place = F.size(F.filter("edges", lambda e: e < F.col("score")))
+        quantiles = F.percentile_approx("score", cuts, 10 * slices)
+        if keys:
+            edges = F.broadcast(occurring.groupBy(*keys).agg(quantiles.alias("edges")))
+            edged = counts.join(edges, keys)  # a row per group
+        else:
+            edged = counts.withColumn("edges", occurring.agg(quantiles).scalar())
         # never null, or the join's null check on it would run on every prediction row
-        place = F.coalesce(place, F.lit(0))
-        sliced = counts.withColumn("edges", edges).withColumn("slice", place).drop("edges")
-        above = Window.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
-        totals = sliced.groupBy("slice").agg(
+        place = F.coalesce(_place(F.col("edges"), F.col("score"), slices - 1), F.lit(0))
+        sliced = edged.withColumn("slice", place).drop("edges")
+        above = everything.orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+        totals = sliced.groupBy(*keys, "slice").agg(
             F.count("*").alias("k"), F.sum("pos").alias("sp"), F.sum("neg").alias("sn")
         )
         lifts = totals.select(
+            *keys,
             "slice",
             F.coalesce(F.sum("k").over(above), F.lit(0)).alias("k0"),
             F.coalesce(F.sum("sp").over(above), F.lit(0)).alias("pos0"),
@@ -122,10 +145,11 @@ def running_counts(counts: DataFrame, slices: int = 1) -> DataFrame:
             F.sum("sp").over(everything).alias("p"),
             F.sum("sn").over(everything).alias("n"),
         )
-        placed = sliced.join(F.broadcast(lifts), "slice")  # at most `slices` rows
-        order = Window.partitionBy("slice").orderBy(F.desc("score"))
+        placed = sliced.join(F.broadcast(lifts), [*keys, "slice"])  # `slices` rows a group
+        order = Window.partitionBy(*keys, "slice").orderBy(F.desc("score"))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return placed.select(
+        *keys,
         (F.row_number().over(order) + F.col("k0")).cast("bigint").alias("point"),
         F.col("points"),
         F.col("pos").cast("double").alias("pos"),
@@ -137,11 +161,13 @@ def running_counts(counts: DataFrame, slices: int = 1) -> DataFrame:
     )
 
 
-def _curve_points(predictions: DataFrame, score: str, slices: int | None) -> DataFrame:
+def _slices(predictions: DataFrame) -> int:
     # a score may differ in every row, so there are as many slices as a shuffle has partitions
-    if slices is None:
-        slices = max(2, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return running_counts(score_counts(predictions, score), slices)
+    return max(2, int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _curve_points(predictions: DataFrame, score: str, slices: int | None) -> DataFrame:
+    return running_counts(score_counts(predictions, score), slices or _slices(predictions))
 
 
 def roc_curve(
@@ -172,6 +198,21 @@ def auc_roc(
     return areas(predictions, score, slices).select("auc_roc")
 
 
+def auc_roc_by(
+    predictions: DataFrame, keys: Sequence[str], score: str = "prediction", slices: int | None = None
+) -> DataFrame:
+    """(keys, auc_roc): the area under the ROC curve of each group, exactly; null without rows of
+    both classes."""
+    counts = score_counts(predictions, score, keys)
+    running = running_counts(counts, slices or _slices(predictions), keys)
+    step = F.col("neg") * (F.col("tp") * 2 - F.col("pos")) / 2
+    return (
+        running.groupBy(*keys)
+        .agg(F.sum(step).alias("area"), F.max(F.col("p") * F.col("n")).alias("whole"))
+        .select(*keys, F.try_divide("area", "whole").alias("auc_roc"))
+    )
+
+
 def pr_curve(
     predictions: DataFrame, score: str = "prediction", slices: int | None = None
 ) -> DataFrame:

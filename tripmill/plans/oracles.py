@@ -5,7 +5,8 @@ Each text starts from a trips view inlined as a common table expression.
 
 from __future__ import annotations
 
-from tripmill.operators.models import TREE_CHOICE, TREE_SETTINGS
+from tripmill.operators.bayes import setting_names
+from tripmill.operators.models import BAYES_GRID, TREE_CHOICE, TREE_SETTINGS
 from tripmill.plans.queries import CLIP, LOW_VOLUME_FRACTION, RULES, TOP_CELLS
 from tripmill.plans.tree_sql import grown_tree, predictions, pruned_nodes
 
@@ -277,6 +278,57 @@ def _bayes_confusion(where: str = f"{_bucket()} >= 66") -> str:
     )
 
 
+def _bayes_folds() -> str:
+    """Areas under the ROC curve per fold and setting, as a view named areas."""
+    learned = f", learned as (select *, cast({_bucket('fold', 3)} as int) as fold from encoded where {_bucket()} < 66)"
+    sums = ", ".join(f"sum(f{i}) as s{i}" for i in range(21))
+    rest = ", ".join(f"w.s{i} - o.s{i} as s{i}" for i in range(21))
+    logs = ", ".join(f"ln(s{i} + smoothing) - ln({' + '.join(f's{k}' for k in range(21))} + 21 * smoothing) as t{i}"
+                     for i in range(21))
+    # of two classes the complement of one is the other, so both types weigh slots alike
+    margin = " + ".join(f"f{i} * (b.t{i} - a.t{i})" for i in range(21))
+    settings = ", ".join(
+        f"('modelType={kind}, smoothing={s}', '{kind}', {s}::double)"
+        for kind in BAYES_GRID["modelType"]
+        for s in BAYES_GRID["smoothing"]
+    )
+    return f"""{learned}, own as (select fold, label, count(*) as n, {sums} from learned group by 1, 2
+), outside as (
+  select o.fold, o.label, w.n - o.n as n, {rest}
+  from own o join (select label, count(*) as n, {sums} from learned group by 1) w using (label)
+), settings as (select * from (values {settings}) as s(params, kind, smoothing)
+), logs as materialized (
+  select params, kind, fold, label, case when kind = 'multinomial' then ln(n + smoothing) else 0 end as pi, {logs}
+  from outside, settings
+), margins as (
+  select a.params, x.fold, x.label, round({margin} + b.pi - a.pi, 9) as score
+  from learned x join logs a on a.fold = x.fold and a.label = 0
+    join logs b on b.fold = x.fold and b.label = 1 and b.params = a.params
+), ranked as (
+  select params, fold, pos, neg, sum(neg) over (partition by params, fold order by score) - neg as below
+  from (select params, fold, score, sum(label) as pos, sum(1 - label) as neg from margins group by 1, 2, 3)
+), areas as materialized (
+  select params, fold, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) as auc from ranked group by 1, 2
+)"""
+
+
+def _bayes_areas() -> str:
+    return _sql(
+        "select params, fold, round(auc, 6) as auc from areas",
+        _CLEAN + _slots("cleaned", True) + _bayes_folds(),
+    )
+
+
+def _bayes_tuning() -> str:
+    order = ", ".join(f"'{n}'" for n in setting_names(BAYES_GRID))
+    return _sql(
+        "select params, round(mean, 6) as avg_auc, round(spread, 6) as std_auc, "
+        f"row_number() over (order by round(mean, 12) desc, list_position([{order}], params)) = 1 as chosen "
+        "from (select params, avg(auc) as mean, stddev_pop(auc) as spread from areas group by 1)",
+        _CLEAN + _slots("cleaned", True) + _bayes_folds(),
+    )
+
+
 def _grown(fit: str, with_dropoff_time: bool = True) -> tuple[str, str, list[str], int]:
     """(views, name of the source, slots, numeric slots) for trees fitted where `fit` holds."""
     kept = [i for i in range(21) if with_dropoff_time or i not in (7, *range(15, 21))]
@@ -547,6 +599,8 @@ def oracle_sql() -> dict[str, str]:
             "union all select 'auc_pr', round(area, 6) from pr_area",
             _SCORED,
         ),
+        "nb_cv": _bayes_tuning(),
+        "nb_cv_folds": _bayes_areas(),
         "nb_model": _bayes_rows(),
         "nb_score": _bayes_confusion(),
         "duration_median_approx": _sql(

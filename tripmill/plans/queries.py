@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.scalars import class_label, hash_bucket, seconds_of_day
 from tripmill.operators import clean as cleaning
-from tripmill.operators import correlation, flags, metrics, models, profile, split, trees
+from tripmill.operators import bayes, correlation, flags, metrics, models, profile, split, trees
 from tripmill.operators.features import (
     CATEGORICAL,
     CLASS_THRESHOLD,
@@ -537,7 +537,17 @@ def nb_score(spark, sf_dir):
 
 @_register
 def nb_cv(spark, sf_dir):
-    return train(trips_raw(spark, sf_dir), "nb", RULES).tuning
+    tuning = train(trips_raw(spark, sf_dir), "nb", RULES).tuning
+    return tuning.withColumns({"avg_auc": _r6("avg_auc"), "std_auc": _r6("std_auc")})
+
+
+@_register
+def nb_cv_folds(spark, sf_dir):
+    learned = split.hash_split(cleaning.clean(trips_raw(spark, sf_dir), RULES))[0]
+    encoded = feature_pipeline(shift=True).fit(learned).transform(learned)
+    with models.cached(split.with_fold(encoded, models.FOLDS)) as kept:
+        folds = bayes.tune_bayes(kept, models.BAYES_GRID)[1]
+    return folds.withColumn("auc", _r6("auc"))
 
 
 @_register

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from tripmill.operators.bayes import tune_bayes
 from tripmill.operators.clean import CleanRules, clean, clean_loss, clean_split
 from tripmill.operators.features import CLASS_THRESHOLD, feature_pipeline
 from tripmill.operators.metrics import confusion_matrix, metric_report
@@ -110,9 +111,11 @@ def _fit(encoded: DataFrame, kind: str, grid, params, folds: int, parallelism: i
     if kind == "dt":
         tuning = compare_trees(encoded, grid, parallelism) if grid else None
         return decision_tree(*(params or TREE_CHOICE)).fit(encoded), tuning
+    if params is None and kind == "nb":
+        tuning, _, params = tune_bayes(encoded, grid)
+        return naive_bayes(**params).fit(encoded), tuning
     if params is None:
-        estimator = naive_bayes() if kind == "nb" else random_forest()
-        tuned = cross_validate(estimator, grid, encoded, folds, parallelism)
+        tuned = cross_validate(random_forest(), grid, encoded, folds, parallelism)
         return tuned.bestModel, tuning_table(encoded.sparkSession, tuned)
     chosen = naive_bayes(**params) if kind == "nb" else random_forest(**params)
     return chosen.fit(encoded), None
