@@ -59,6 +59,11 @@ def _coefficients(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns are present, as in pearson.
     """
     values = df.selectExpr(*[f"cast(`{c}` as double) as x{i}" for i, c in enumerate(columns)])
+    return values.selectExpr(*coefficient_measures(len(columns)))
+
+
+def coefficient_measures(n: int) -> list[str]:
+    """SQL aggregates r<i>_<j> over columns x0, x1, ... of doubles, for all i <= j."""
 
     def coefficient(i: int, j: int) -> str:
         if i == j:
@@ -68,5 +73,4 @@ def _coefficients(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
         return f"try_divide(covar_pop(x{i}, x{j}), {spread}) as r{i}_{j}"
 
-    pairs = combinations_with_replacement(range(len(columns)), 2)
-    return values.selectExpr(*[coefficient(i, j) for i, j in pairs])
+    return [coefficient(i, j) for i, j in combinations_with_replacement(range(n), 2)]

@@ -37,9 +37,31 @@ def frequency_share(df: DataFrame, column: str) -> DataFrame:
     return counts.withColumn("pct", F.col("n") * F.lit(100.0).cast("double") / total).orderBy("tag")
 
 
+def smallest_cutoff(df: DataFrame, column: str, rows: int, spare: int = 50) -> Column:
+    """The rows-th smallest different value of a column, as a scalar subquery.
+
+    Each task keeps only its rows * spare smallest values. Null if fewer than `rows` different
+    ones are among all of these, because the column has no more or repeats its first ones often.
+    """
+    taken = df.select(F.col(column).alias("tag")).filter("tag is not null").orderBy("tag")
+    tags = taken.limit(rows * spare).agg(F.sort_array(F.collect_set("tag")).alias("tags"))
+    return tags.select(F.get("tags", F.lit(rows - 1))).scalar()
+
+
+def up_to(value: Column, cutoff: Column) -> Column:
+    """Whether a value may be among the smallest: all may be where the cutoff is not known."""
+    return cutoff.isNull() | value.isNull() | (value <= cutoff)
+
+
 def frequency_preview(df: DataFrame, column: str, rows: int = PREVIEW_ROWS) -> DataFrame:
-    """The first values of a column, in value order, with their counts."""
-    return frequency(df, column).limit(rows)
+    """The first values of a column, in value order, with their counts.
+
+    One scan finds how far the first values reach, a second counts those alone, so the other
+    values of a column, mostly unique ones, are not shuffled.
+    """
+    tags = df.select(F.col(column).alias("tag"))
+    tags = tags.withColumn("cut", smallest_cutoff(df, column, rows))
+    return frequency(tags.filter(up_to(F.col("tag"), F.col("cut"))), "tag").limit(rows)
 
 
 def trips_per_day(df: DataFrame, column: str) -> DataFrame:
@@ -80,9 +102,9 @@ def _cells(df: DataFrame, lat: str, lon: str, scale: float) -> DataFrame:
     ).agg(F.count("*").alias("n"))
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, count, mean, stdev_pop, max, min) per column, all from one pass."""
-    measures = [
+def summary_measures(columns: Sequence[str]) -> list[Column]:
+    """Aggregates (column, count, mean, stdev_pop, max, min), one struct per column."""
+    return [
         F.struct(
             F.lit(c).alias("column"),
             F.count(c).alias("count"),
@@ -93,20 +115,25 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
         for c in columns
     ]
-    return df.agg(F.array(*measures).alias("m")).selectExpr("inline(m)")
 
 
-def _usable(value: Column) -> Column:
+def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, count, mean, stdev_pop, max, min) per column, all from one pass."""
+    return df.agg(F.array(*summary_measures(columns)).alias("m")).selectExpr("inline(m)")
+
+
+def usable(value: Column) -> Column:
+    """Whether a value has a place in a histogram: not null, NaN or infinite."""
     # false for NaN as well, which Spark orders above infinity
     return value.isNotNull() & (F.abs(value) < F.lit(float("inf")))
 
 
-def _bounds(value: Column) -> Column:
-    kept = F.when(_usable(value), value)
+def histogram_bounds(value: Column) -> Column:
+    kept = F.when(usable(value), value)
     return F.struct(F.min(kept).alias("lo"), F.max(kept).alias("hi"))
 
 
-def _bucket(value: Column, lo: Column, hi: Column, bins: int) -> Column:
+def histogram_bucket(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Half-open equal-width buckets, the last one closed; one bucket if all values are equal."""
     position = F.floor((value - lo) / (hi - lo) * F.lit(bins))
     return F.when(hi == lo, 0).otherwise(F.least(position, F.lit(bins - 1))).cast("int")
@@ -156,11 +183,11 @@ def histogram(
     clip=(a, b) looks only at values from a to b. Nulls, NaN and infinities are skipped. One pass
     finds the bounds, a second counts; at most `bins` rows leave the counting.
     """
-    values = df.select(F.col(column).cast("double").alias("x")).filter(_usable(F.col("x")))
+    values = df.select(F.col(column).cast("double").alias("x")).filter(usable(F.col("x")))
     if clip:
         values = values.filter(F.col("x").between(*[F.lit(float(v)) for v in clip]))
-    bounds = values.agg(_bounds(F.col("x"))).scalar()
-    bucket = _bucket(F.col("x"), F.col("b.lo"), F.col("b.hi"), bins)
+    bounds = values.agg(histogram_bounds(F.col("x"))).scalar()
+    bucket = histogram_bucket(F.col("x"), F.col("b.lo"), F.col("b.hi"), bins)
     counts = (
         values.withColumn("b", bounds)
         .groupBy(bucket.alias("bucket"))
@@ -173,13 +200,13 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = HISTOGRAM_BINS
     """(column, bucket, lo, hi, label, n) for several columns from two passes over the rows,
     however many columns there are. Meant for sources that cannot read one column alone (CSV)."""
     values = df.select([F.col(c).cast("double").alias(c) for c in columns])
-    bounds = values.agg(F.struct(*[_bounds(F.col(c)).alias(c) for c in columns])).scalar()
+    bounds = values.agg(F.struct(*[histogram_bounds(F.col(c)).alias(c) for c in columns])).scalar()
     # each row adds 1 to one bucket per column, all collapsed map-side to columns x bins rows
     hits = [
         F.struct(
             F.lit(c).alias("column"),
             F.when(
-                _usable(F.col(c)), _bucket(F.col(c), F.col(f"b.{c}.lo"), F.col(f"b.{c}.hi"), bins)
+                usable(F.col(c)), histogram_bucket(F.col(c), F.col(f"b.{c}.lo"), F.col(f"b.{c}.hi"), bins)
             ).alias("bucket"),
         )
         for c in columns

@@ -174,6 +174,45 @@ def _summary() -> str:
     )
 
 
+def _profile_rows() -> str:
+    """Every figure of the profile job, as (report, item, measure, value)."""
+
+    def counts(report: str, item: str) -> str:
+        return (
+            f"select '{report}' as report, {item} as item, 'n' as measure, count(*)::double as value "
+            "from trips_raw group by 2"
+        )
+
+    parts = [counts(c, f"cast({c} as varchar)") for c in ("vendor_id", "passenger_count", "trip_duration")]
+    parts += [counts(f"{end}_datetime", f"strftime({end}_datetime, '%Y-%m-%d')") for end in ("pickup", "dropoff")]
+    parts += [
+        counts(f"{end}_grid", f"cast({_cell(end + '_latitude')} as varchar) || ',' || cast({_cell(end + '_longitude')} as varchar)")
+        for end in ("pickup", "dropoff")
+    ]
+    parts += [counts("store_and_fwd_flag", "store_and_fwd_flag"), f"({counts('id', 'id')} order by 2 limit 20)"]
+    parts.append(
+        "select 'store_and_fwd_flag', store_and_fwd_flag, 'pct', "
+        "round(count(*) * 100.0::double / sum(count(*)) over (), 6) from trips_raw group by 2"
+    )
+    parts += [
+        f"select '{c}', cast(bucket as varchar), '{m}', {m}::double from {c}_h"
+        for c in _COORDINATES
+        for m in ("lo", "hi", "n")
+    ]
+    for c in ["vendor_id", "passenger_count", "trip_duration", *_COORDINATES]:
+        for measure, value in (("count", f"count({c})"), ("mean", f"avg({c})"), ("max", f"max({c})"),
+                               ("stdev_pop", f"stddev_pop({c})"), ("min", f"min({c})")):
+            digits = 5 if measure == "mean" else 6
+            parts.append(f"select 'summary', '{c}', '{measure}', round({value}::double, {digits}) from trips_raw")
+    parts += [
+        f"select 'correlation', '{a},{b}', 'corr', {_corr(a, b)} from flagged"
+        for a in _VARIABLES
+        for b in _VARIABLES
+    ]
+    views = "".join("," + _histogram_parts(c, "true", c) for c in _COORDINATES)
+    return _sql(" union all ".join(parts), _FLAGGED_RAW + views)
+
+
 def _seconds(c: str) -> str:
     return f"cast(hour({c}) * 3600 + minute({c}) * 60 + second({c}) as double)"
 
@@ -478,6 +517,7 @@ def oracle_sql() -> dict[str, str]:
         "grid_density_dropoff": _grid("dropoff"),
         "grid_topk": _grid("pickup", f"order by n desc, lat, lon limit {TOP_CELLS}"),
         "numeric_summary": _summary(),
+        "profile_report": _profile_rows(),
         "histogram_clipped": _histogram(
             CLIP["column"],
             f"{CLIP['column']} between cast({CLIP['lo']} as double) and cast({CLIP['hi']} as double)",

@@ -22,6 +22,7 @@ from tripmill.operators.features import (
     split_datetime,
     string_indexer,
 )
+from tripmill.plans.profiling import survey
 from tripmill.plans.training import CHOICES, score, train
 from tripmill.session import tune
 from tripmill.sources import sinks
@@ -277,6 +278,14 @@ def corr_heatmap(spark, sf_dir):
     return matrix.withColumns({c: _r6(c) for c in correlation.CORRELATED})
 
 
+@_register
+def profile_report(spark, sf_dir):
+    rows = survey(trips_raw(spark, sf_dir)).rows()
+    # sums in another order move a mean of 6-digit coordinates across an edge of six digits
+    value = F.when(F.col("measure") == "mean", F.round("value", 5)).otherwise(_r6("value"))
+    return rows.withColumn("value", value)
+
+
 # ---- cleaning, classes, splits ----------------------------------------------------------------
 
 

@@ -17,7 +17,7 @@ def write_series(series: DataFrame, base: str, tag: str, value: str) -> None:
 
     Line i of Values belongs to line i of Tags: both are ordered by the unique tag.
     """
-    table = _write_table(series.select(tag, value).orderBy(tag), base).orderBy(tag)
+    table = write_table(series.select(tag, value).orderBy(tag), base).orderBy(tag)
     _write_lines(table.select(value), base + "Values")
     _write_lines(table.select(tag), base + "Tags")
 
@@ -25,7 +25,7 @@ def write_series(series: DataFrame, base: str, tag: str, value: str) -> None:
 def write_histogram(histogram: DataFrame, base: str) -> None:
     """A histogram as a CSV table at <base>, its counts as <base>Values and its n+1 edges as
     <base>Ranges. A histogram is one partition of as many rows as it has buckets."""
-    table = _write_table(histogram, base).coalesce(1)
+    table = write_table(histogram, base).coalesce(1)
     _write_lines(table.sortWithinPartitions("bucket").select("n"), base + "Values")
     edges = table.select("lo").union(table.agg(F.max("hi"))).filter("lo is not null")
     _write_lines(edges.coalesce(1).sortWithinPartitions("lo"), base + "Ranges")
@@ -49,7 +49,7 @@ def write_matrix(matrix: DataFrame, base: str) -> None:
     tags.write.mode("overwrite").text(base + "Tags")
 
 
-def _write_table(table: DataFrame, base: str) -> DataFrame:
+def write_table(table: DataFrame, base: str) -> DataFrame:
     """Write a CSV table and return it as stored, so that the source is read only once."""
     table.write.mode("overwrite").option("header", True).csv(base)
     return table.sparkSession.read.schema(table.schema).option("header", True).csv(base)
