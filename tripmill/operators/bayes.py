@@ -17,7 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.operators.metrics import auc_roc_by
+from tripmill.operators.metrics import auc_roc_by, score_counts
 
 #: Digits of a margin that tell scores apart; what differs behind them is rounding.
 DIGITS = 9
@@ -49,16 +49,12 @@ def bayes_weights(
     return (theta[1] - theta[0]).tolist(), float(pi[1] - pi[0])
 
 
-def _margin(weights: list[float], bias: float) -> str:
-    terms = [f"f[{i}] * {w!r}D" for i, w in enumerate(weights)]
-    return " + ".join([*terms, f"{bias!r}D"])
-
-
-def fold_areas(data: DataFrame, grid: dict[str, list]) -> DataFrame:
-    """(setting, fold, auc) of encoded rows with a column fold, lazily from their class sums.
+def fold_scores(data: DataFrame, grid: dict[str, list]) -> DataFrame:
+    """(label, fold, setting, score) of encoded rows with a column fold: the margin of each row by
+    the model of every setting that its fold had no part in.
 
     setting: position in the grid. The sums are taken now: two rows per fold. A fold whose
-    complement lacks a class, or that lacks one itself, has a null area.
+    complement lacks a class has no scores.
     """
     rows = class_sums(data, "fold").collect()
     folds = sorted({r["fold"] for r in rows})
@@ -70,32 +66,28 @@ def fold_areas(data: DataFrame, grid: dict[str, list]) -> DataFrame:
     own = {(r["fold"], r["label"]): r for r in rows}
     settings = [dict(zip(grid, values)) for values in product(*grid.values())]
 
-    def margin(setting: dict) -> str:
-        cases = []
-        for fold in folds:
-            counts = []
-            for label in (0.0, 1.0):
-                part = own.get((fold, label))
-                if label in whole:
-                    counts.append((
-                        size[label] - (part["n"] if part else 0),
-                        whole[label] - (np.array(part["sums"]) if part else 0),
-                    ))
-            if len(counts) == 2 and all(n for n, _ in counts):
-                weights = bayes_weights(*zip(*counts), **setting)
-                cases.append(f"when {fold} then {_margin(*weights)}")
-        return f"round(case fold {' '.join(cases)} end, {DIGITS})" if cases else "cast(null as double)"
-
-    scored = data.select("label", "fold", vector_to_array("features").alias("f")).selectExpr(
-        "label", "fold", *[f"{margin(s)} as m{i}" for i, s in enumerate(settings)]
-    )
-    pairs = ", ".join(f"struct({i} as setting, m{i} as score)" for i in range(len(settings)))
-    each = scored.selectExpr("label", "fold", f"inline(array({pairs}))").filter("score is not null")
-    found = auc_roc_by(each, ["setting", "fold"], "score")
-    every = data.sparkSession.createDataFrame(
-        [(i, f) for i in range(len(settings)) for f in folds], "setting int, fold int"
+    models = []
+    for fold in folds:
+        counts = []
+        for label in (0.0, 1.0):
+            part = own.get((fold, label))
+            if label in whole:
+                outside = whole[label] - (np.array(part["sums"]) if part else 0)
+                counts.append((size[label] - (part["n"] if part else 0), outside))
+        if len(counts) == 2 and all(n for n, _ in counts):
+            for i, setting in enumerate(settings):
+                weights, bias = bayes_weights(*zip(*counts), **setting)
+                models.append((fold, i, weights, bias))
+    schema = "fold int, setting int, weights array<double>, bias double"
+    # a row per fold and setting; the sum is a lambda, as it would be too long to compile written out
+    model = F.broadcast(data.sparkSession.createDataFrame(models, schema))
+    products = F.zip_with("f", "weights", lambda x, w: x * w)
+    margin = F.aggregate(products, F.col("bias"), lambda total, x: total + x)
+    return (
+        data.select("label", "fold", vector_to_array("features").alias("f"))
+        .join(model, "fold")
+        .select("label", "fold", "setting", F.round(margin, DIGITS).alias("score"))
     )
-    return every.join(F.broadcast(found), ["setting", "fold"], "left").withColumnRenamed("auc_roc", "auc")
 
 
 def setting_names(grid: dict[str, list]) -> list[str]:
@@ -110,10 +102,13 @@ def tune_bayes(data: DataFrame, grid: dict[str, list]) -> tuple[DataFrame, DataF
 
     The setting with the greatest mean area over the folds wins, of equal ones the first.
     """
-    spark, names = data.sparkSession, setting_names(grid)
-    areas = sorted((r["setting"], r["fold"], r["auc"]) for r in fold_areas(data, grid).collect())
+    spark, names, keys = data.sparkSession, setting_names(grid), ["setting", "fold"]
+    counts = score_counts(fold_scores(data, grid), "score", keys).persist()
+    areas = sorted(tuple(r) for r in auc_roc_by(counts, keys).collect())
+    counts.unpersist()
+    folds = data.select("fold").distinct().count()
     by = [[a for s, _, a in areas if s == i] for i in range(len(names))]
-    if not areas or any(a is None for own in by for a in own):
+    if not areas or any(len(own) != folds or None in own for own in by):
         raise ValueError("every fold needs rows of both classes, inside and outside")
     # sums of equal areas may differ in their last digits; the first of equals is chosen
     means = [round(float(np.mean(own)), 12) for own in by]

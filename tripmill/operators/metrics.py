@@ -198,13 +198,11 @@ def auc_roc(
     return areas(predictions, score, slices).select("auc_roc")
 
 
-def auc_roc_by(
-    predictions: DataFrame, keys: Sequence[str], score: str = "prediction", slices: int | None = None
-) -> DataFrame:
-    """(keys, auc_roc): the area under the ROC curve of each group, exactly; null without rows of
-    both classes."""
-    counts = score_counts(predictions, score, keys)
-    running = running_counts(counts, slices or _slices(predictions), keys)
+def auc_roc_by(counts: DataFrame, keys: Sequence[str], slices: int | None = None) -> DataFrame:
+    """(keys, auc_roc): the exact area under the ROC curve of each group, from score_counts with
+    the same keys; null without rows of both classes. The counts are read several times: keep
+    them where they are dear."""
+    running = running_counts(counts, slices or _slices(counts), keys)
     step = F.col("neg") * (F.col("tp") * 2 - F.col("pos")) / 2
     return (
         running.groupBy(*keys)
