@@ -44,6 +44,17 @@ def documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, changed where a column of docs has one of them already."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        out.append(name)
+    return out
+
+
 def utf8(batch, name: str = "text") -> list[bytes]:
     """A text column of an Arrow batch as bytes, without decoding."""
     import pyarrow as pa

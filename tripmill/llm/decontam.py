@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import stored
+from tripmill.llm.common import stored, unused
 
 WINDOW = 10
 GRAM = 5
@@ -174,6 +174,7 @@ def same_key(left: DataFrame, right: DataFrame, name: str) -> Column:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs without the rows that hold a benchmark window, with all their columns."""
     hits = stored(window_hits(docs, benchmark, window), "hits")
-    keys = hits.select(F.col("doc_id").alias("_id"), F.col("code").alias("_code")).distinct()
-    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_code"))
+    own, code = unused(docs, "_id", "_code")  # docs may have columns of any name
+    keys = hits.select(F.col("doc_id").alias(own), F.col("code").alias(code)).distinct()
+    met = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(code))
     return docs.join(keys, met, "left_anti")

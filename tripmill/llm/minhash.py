@@ -15,7 +15,7 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import LOWER, arrow_rows, documents, stored, utf8
+from tripmill.llm.common import LOWER, arrow_rows, documents, stored, unused, utf8
 
 SHINGLE = 5
 #: A pair at the threshold shares a band but for (1 - 0.75^5)^40 = 2e-5 of the cases.
@@ -368,11 +368,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     firsts = found.filter("kept").groupBy("doc_id").agg(
         F.min("code").alias("code"), F.count("*").alias("copies")
     )
-    firsts = firsts.select(F.col("doc_id").alias("_id"), F.col("code").alias("_code"), "copies")
-    met = F.col("doc_id").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_code")
+    # docs may have columns of any name
+    own, code, copies = unused(docs, "_id", "_code", "_copies")
+    firsts = firsts.select(
+        F.col("doc_id").alias(own), F.col("code").alias(code), F.col("copies").alias(copies)
+    )
+    met = F.col("doc_id").eqNullSafe(F.col(own)) & (
+        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(code)
     )
     rows = docs.join(firsts, met)
-    once = rows.filter("copies = 1").drop("_id", "_code", "copies")
-    again = rows.filter("copies > 1").dropDuplicates(["_id"]).drop("_id", "_code", "copies")
+    once = rows.filter(F.col(copies) == 1).drop(own, code, copies)
+    again = rows.filter(F.col(copies) > 1).dropDuplicates([own]).drop(own, code, copies)
     return once.unionByName(again)
