@@ -274,6 +274,17 @@ def test_scoring_a_file(spark, trips, tree, tmp_path):
     assert scored.metrics.count() == 7
 
 
+def test_curves_and_preview_of_trained_and_scored(trips, tree):
+    for judged in (tree, score(trips, tree.model, RULES)):
+        figures = {r["metric"]: r["value"] for r in judged.metrics.collect()}
+        points = [(r["fpr"], r["tpr"]) for r in judged.roc.collect()]
+        assert points[0] == (0.0, 0.0) and points[-1] == (1.0, 1.0) and len(points) == 4
+        assert points[1] == pytest.approx((figures["fpr"], figures["tpr"]))
+        curve = judged.pr.collect()
+        assert curve[0]["recall"] == 0.0 and curve[1]["recall"] == pytest.approx(figures["tpr"])
+        assert judged.preview.count() == 20 and judged.preview.columns == judged.predictions.columns
+
+
 def test_scoring_a_file_with_one_flag_only(trips, tree):
     only_n = trips.filter("store_and_fwd_flag = 'N'")
     assert score(only_n, tree.model, RULES).predictions.count() > 0

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tripmill.operators.bayes import tune_bayes
 from tripmill.operators.clean import CleanRules, clean, clean_loss, clean_split
 from tripmill.operators.features import CLASS_THRESHOLD, feature_pipeline
-from tripmill.operators.metrics import confusion_matrix, metric_report
+from tripmill.operators.metrics import confusion_matrix, metric_report, pr_curve, roc_curve
 from tripmill.operators.models import (
     BAYES_CHOICE,
     BAYES_GRID,
@@ -27,7 +27,7 @@ from tripmill.operators.models import (
     random_forest,
     tuning_table,
 )
-from tripmill.operators.profile import approx_median
+from tripmill.operators.profile import approx_median, preview
 from tripmill.operators.split import hash_split, random_split, with_fold, with_side
 from tripmill.session import tune
 from tripmill.sources.sinks import load_model
@@ -38,15 +38,10 @@ FULL_GRIDS = {"dt": TREE_SETTINGS, "nb": BAYES_GRID, "rf": FOREST_GRID}
 CHOICES = {"dt": TREE_CHOICE, "nb": BAYES_CHOICE, "rf": FOREST_CHOICE}
 
 
-@dataclass
-class Trained:
-    """A fitted chain from raw clean trips to predictions, and how it did on the test side."""
+class Judged:
+    """Reports over predictions (id, probability, prediction, label)."""
 
-    model: PipelineModel
-    threshold: float
-    loss: DataFrame
     predictions: DataFrame
-    tuning: DataFrame | None
 
     @property
     def metrics(self) -> DataFrame:
@@ -56,6 +51,32 @@ class Trained:
     def confusion(self) -> DataFrame:
         return confusion_matrix(self.predictions)
 
+    @property
+    def roc(self) -> DataFrame:
+        """(point, fpr, tpr) of the hard predictions."""
+        return roc_curve(self.predictions)
+
+    @property
+    def pr(self) -> DataFrame:
+        """(point, recall, precision) of the hard predictions."""
+        return pr_curve(self.predictions)
+
+    @property
+    def preview(self) -> DataFrame:
+        """The first predictions, for looking at."""
+        return preview(self.predictions)
+
+
+@dataclass
+class Trained(Judged):
+    """A fitted chain from raw clean trips to predictions, and how it did on the test side."""
+
+    model: PipelineModel
+    threshold: float
+    loss: DataFrame
+    predictions: DataFrame
+    tuning: DataFrame | None
+
 
 def train(
     trips: DataFrame,
@@ -122,18 +143,12 @@ def _fit(encoded: DataFrame, kind: str, grid, params, folds: int, parallelism: i
 
 
 @dataclass
-class Scored:
+class Scored(Judged):
+    """Predictions for new trips, and what cleaning removed."""
+
     predictions: DataFrame
     loss: DataFrame
 
-    @property
-    def metrics(self) -> DataFrame:
-        return metric_report(self.predictions)
-
-    @property
-    def confusion(self) -> DataFrame:
-        return confusion_matrix(self.predictions)
-
 
 def score(trips: DataFrame, model: PipelineModel | str, rules: CleanRules = CleanRules()) -> Scored:
     """Clean new trips and predict them with a saved chain (a path or a loaded model)."""
