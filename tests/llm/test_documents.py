@@ -192,6 +192,34 @@ def test_suffix_dedup(docs, rows, group):
     same(found.collect(), brute_removed(rows, 60))
 
 
+@pytest.mark.parametrize("group", [50_000, 3])
+def test_suffix_dedup_removes_planted_passages_and_nothing_else(spark, group):
+    rng = random.Random(8)
+
+    def prose(size):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size))
+
+    # a passage in three texts each, with other text around it, some copies among them
+    planted = {k: prose(size) for k, size in enumerate((399, 400, 401, 450, 550, 700))}
+    rows, want = [], {}
+    for k, passage in planted.items():
+        for n in range(3):
+            doc_id = 10 * k + n
+            rows.append((doc_id, f"{prose(300 + n)}{n}{passage}{n}{prose(200)}"))
+            want[doc_id] = len(passage) if len(passage) >= 400 else 0
+    rows += [(100 + n, prose(900)) for n in range(5)]
+    want |= {100 + n: 0 for n in range(5)}
+    rows += [(200 + n, rows[18][1]) for n in range(4)]  # copies of document 100
+    want |= {200 + n: 900 for n in range(4)} | {100: 900}
+    # one passage, a third of all rows, always another context
+    rows += [(300 + n, f"{prose(150)}{chr(65 + n)}{planted[5][:420]}{chr(65 + n)}{prose(150)}") for n in range(12)]
+    want |= {300 + n: 420 for n in range(12)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = suffixes.remove_repeats(docs, 400, False, group).drop("code", "kept_bytes").collect()
+    assert {r.doc_id: r.n_removed for r in found} == want
+    same(found, brute_removed(rows, 400))
+
+
 def test_deep_shallow_sorts():
     rng = random.Random(3)
     for _ in range(100):

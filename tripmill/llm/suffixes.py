@@ -3,11 +3,13 @@
 A byte goes when a string of LENGTH bytes that covers it also starts somewhere else. Only suffixes
 at anchors are sorted: the k-gram with the smallest hash of every window of LENGTH bytes. Equal
 windows have equal anchors at equal offsets, so all repeats of a window meet where its anchor's
-hash is shared. There the texts right of the anchor are ordered deep-shallow (multikey quicksort
-to a shallow depth, blind tries below it), and those left of it, read backwards, as well; common
-prefixes of the two orders tell which windows occur twice. Anchors whose hash occurs too often for
-one task have their stretches of windows counted by digest, whole ones first, then smaller blocks of
-those that differ.
+hash is shared. Anchors of one hash and one digest of the bytes under all of their windows (their
+context) are copies: all those bytes are repeated, and one of the copies stands for them where
+other contexts share the hash. Only these, one per different context, are shipped with their bytes.
+The texts right of the anchor are ordered deep-shallow (multikey quicksort to a shallow depth,
+blind tries below it), and those left of it, read backwards, as well; common prefixes of the two
+orders tell which windows occur twice. Where a hash has too many different contexts for one task,
+digests of ever smaller blocks of their windows are counted instead.
 """
 
 from __future__ import annotations
@@ -23,14 +25,14 @@ LENGTH = 400
 GRAM = 64
 #: Suffixes are told apart by quicksort up to here, by blind tries beyond.
 SHALLOW = 128
-#: Members of a group that one task sorts (some 30 MB of contexts).
+#: Different contexts of a hash that one task sorts (some 30 MB).
 GROUP = 50_000
 #: Groups of up to so many different contexts are resolved pair by pair, larger ones by distance.
 PAIRED = 64
 #: Periods up to here are looked for where anchors lie closer than usual.
 PERIOD = 32
-#: Windows of a too frequent anchor are looked at in blocks of so many; the first takes all.
-BLOCK_WIDTHS = (4096, 48, 8, 1)
+#: Windows of a hash with too many contexts are looked at in blocks of so many.
+BLOCK_WIDTHS = (48, 8, 1)
 NULL_ID = -(1 << 63)
 
 
@@ -299,7 +301,7 @@ def _by_pairs(ranks, left, back, span, length: int):
 
 # ---- plan
 
-ANCHORS = "h bigint, id bigint, code bigint, place bigint"
+ANCHORS = "h bigint, d bigint, id bigint, code bigint, place bigint"
 CONTEXTS = "h bigint, id bigint, code bigint, pos bigint, left bigint, back bigint, context binary"
 BLOCKS = "h bigint, id bigint, code bigint, place bigint, core binary, whole binary"
 RUNS = "id bigint, code bigint, start bigint, end bigint"
@@ -310,12 +312,13 @@ REMOVED = (
 
 
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
-    """place: position, left and back packed into one number. A periodic stretch has its start
-    for h and its end, negated, for place."""
+    """place: position, left and back packed into one number; d: digest of the context, left and
+    back. A periodic stretch has its start for h and its end, negated, for place."""
 
     def find(batches):
         import numpy as np
         import pyarrow as pa
+        from xxhash import xxh3_64_intdigest as digest
 
         for batch in batches:
             parts = []
@@ -323,14 +326,17 @@ def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
             for i, code, text in zip(*columns, utf8(batch)):
                 h, at, left, back, stretches = anchors(text, length)
                 place = (at << 24) | (left << 12) | back
+                cuts = ((at - left).tolist(), (at - back + length).tolist(), (place & 0xFFFFFF).tolist())
+                d = np.array([digest(text[a:b], seed) for a, b, seed in zip(*cuts)], dtype=np.uint64)
                 own = np.array(stretches, dtype=np.int64).reshape(-1, 2)
                 h = np.concatenate([h.view(np.int64), own[:, 0]])
+                d = np.concatenate([d.view(np.int64), np.zeros(len(own), np.int64)])
                 place = np.concatenate([place, -own[:, 1]])
-                parts.append((h, np.full(len(h), i), np.full(len(h), code), place))
+                parts.append((h, d, np.full(len(h), i), np.full(len(h), code), place))
             if parts:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts)],
-                    names=["h", "id", "code", "place"],
+                    names=["h", "d", "id", "code", "place"],
                 )
 
     return texts.mapInArrow(find, ANCHORS)
@@ -389,28 +395,27 @@ def _group_runs(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _block_rows(hot: DataFrame, length: int, width: int) -> DataFrame:
-    """A row per anchor and block of `width` distances, which start at multiples of it.
+    """A row per context and block of `width` distances, which start at multiples of it.
 
-    whole: digest of the bytes under all of the anchor's windows in the block; core: digest of
-    those that every window of the block covers, or of the anchor hash where there are none. A
-    text names each stretch once, also where two of its anchors stand for the same windows.
+    whole: digest of the bytes under all of the anchor's windows in the block, and of their
+    distances; core: digest of those that every window of the block covers, or of the anchor hash
+    where there are none, and of the block's place. Equal windows are at equal distances.
     """
 
     def cut(batches):
         for batch in batches:
             rows = []
             for i, code, text, found in _placed(batch):
-                seen = set()
                 for h, pos, left, back in found:
                     for low in range(back - back % width, left + 1, width):
                         far, near = min(left, low + width - 1), max(back, low)
-                        if (pos - far, pos - near) in seen:
-                            continue
-                        seen.add((pos - far, pos - near))
                         core = text[pos - low : max(pos - low - width + 1 + length, 0)]
                         core = core or h.to_bytes(8, "little", signed=True)
                         whole = text[pos - far : pos - near + length]
-                        digests = [hashlib.blake2b(x, digest_size=16).digest() for x in (core, whole)]
+                        digests = [
+                            hashlib.blake2b(x, digest_size=16, salt=b"%d %d" % at).digest()
+                            for x, at in ((core, (low, width)), (whole, (far, near)))
+                        ]
                         rows.append((h, i, code, pos << 24 | far << 12 | near, *digests))
                 if len(rows) > 8192:
                     yield arrow_rows(rows, BLOCKS)
@@ -420,13 +425,22 @@ def _block_rows(hot: DataFrame, length: int, width: int) -> DataFrame:
     return hot.mapInArrow(cut, BLOCKS)
 
 
-def _block_runs(texts: DataFrame, hot: DataFrame, length: int) -> DataFrame:
-    """Runs of anchors whose hash is too frequent for one task, by ever smaller blocks of windows.
+def _block_runs(contexts: DataFrame, length: int) -> DataFrame:
+    """Runs of contexts whose hash has too many for one task, by ever smaller blocks of windows.
 
-    Where a block's whole stretch occurs again, all of its windows do. One of each different
-    stretch goes on to smaller blocks, if its core occurs in another stretch as well; copies are
-    counted and left behind, so only stretches that differ near their ends reach single windows.
+    Contexts differ, but their windows need not. Where a block's whole stretch occurs again, all of
+    its windows do. One of each different stretch goes on to smaller blocks, if its core occurs in
+    another stretch as well, so only stretches that differ near their ends reach single windows.
+    The contexts are stored once and cut like texts, each named by its hash and digest.
     """
+    contexts = stored(
+        contexts.withColumn("name", F.xxhash64("context", "left", "back")), "contexts"
+    )
+    texts = contexts.select(
+        F.col("h").alias("id"), F.col("name").alias("code"), F.col("context").alias("text")
+    ).dropDuplicates(["id", "code"])
+    place = F.expr("left << 24 | left << 12 | back")  # the anchor is `left` bytes into its context
+    hot = contexts.select("h", F.col("h").alias("id"), F.col("name").alias("code"), place.alias("place"))
     runs = None
     for width in BLOCK_WIDTHS:
         rows = stored(_block_rows(_with_text(texts, hot), length, width), "blocks")
@@ -444,7 +458,11 @@ def _block_runs(texts: DataFrame, hot: DataFrame, length: int) -> DataFrame:
             shared = wholes.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1")
             wholes = wholes.join(shared.select("core"), "core")
         hot = wholes.select("h", "id", "code", "place")
-    return runs
+    runs = runs.select(F.col("id").alias("h"), F.col("code").alias("name"), "start", "end").distinct()
+    from_text = F.col("pos") - F.col("left")
+    return contexts.join(runs, ["h", "name"]).select(
+        "id", "code", (F.col("start") + from_text).alias("start"), (F.col("end") + from_text).alias("end")
+    )
 
 
 def _with_text(texts: DataFrame, found: DataFrame) -> DataFrame:
@@ -460,18 +478,37 @@ def _with_text(texts: DataFrame, found: DataFrame) -> DataFrame:
 def repeated_runs(texts: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """(id, code, start, end): bytes covered by repeated strings; runs may overlap.
 
-    Groups of up to `group` anchors are sorted, each in one task; greater ones go by blocks.
+    Hashes of up to `group` different contexts are sorted, each in one task; others go by blocks.
+    The anchors are joined by sorting at every size, so a hot hash can be split between tasks.
     """
     rows = stored(_anchor_rows(texts, length), "anchors")
     found = rows.filter("place >= 0")
-    often = found.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
-    often = stored(often, "often")
-    greatest = often.agg(F.max("k")).first()[0] or 0
-    cold = found.join(often.filter(F.col("k") <= group).select("h"), "h")
-    runs = _group_runs(_contexts(_with_text(texts, cold), length), length)
+    often = found.groupBy("h").agg(
+        F.count("*").alias("k"), (F.min("d") != F.max("d")).alias("mixed")
+    )
+    often = often.filter("k > 1").select("h", "mixed")
+    shared = stored(found.join(often.hint("merge"), "h"), "shared")
+    first = F.min(F.struct("id", "code", "place")).alias("m")
+    classes = shared.filter("mixed").groupBy("h", "d").agg(F.count("*").alias("k"), first)
+    classes = stored(classes.select("h", "d", "k", "m.*"), "classes")
+    copied = classes.filter("k > 1").select("h", "d").hint("merge")
+    copies = shared.filter("not mixed").unionByName(
+        shared.filter("mixed").join(copied, ["h", "d"], "left_semi")
+    )
+    pos, left, back = (F.expr(x) for x in ("place >> 24", "place >> 12 & 4095", "place & 4095"))
+    runs = copies.select(
+        "id", "code", (pos - left).alias("start"), (pos - back + length).alias("end")
+    )
+    sizes = classes.groupBy("h").agg(F.count("*").alias("n"))
+    greatest = sizes.agg(F.max("n")).first()[0] or 0
+    cold = classes
     if greatest > group:
-        hot = found.join(often.filter(F.col("k") > group).select("h"), "h")
-        runs = runs.unionByName(_block_runs(texts, hot, length))
+        # at most one hash per `group` contexts
+        hot = stored(sizes.filter(F.col("n") > group).select("h"), "hot")
+        cold = classes.join(hot, "h", "left_anti")
+        hot = classes.join(hot, "h", "left_semi")
+        runs = runs.unionByName(_block_runs(_contexts(_with_text(texts, hot), length), length))
+    runs = runs.unionByName(_group_runs(_contexts(_with_text(texts, cold), length), length))
     stretches = rows.filter("place < 0")
     return runs.unionByName(
         stretches.select("id", "code", F.col("h").alias("start"), (-F.col("place")).alias("end"))
