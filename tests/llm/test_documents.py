@@ -136,6 +136,74 @@ def test_licenses(spark):
     assert len(licenses.rules()) > 300
 
 
+def example(pattern):
+    """A text that a rule's pattern matches: first branches, no optional parts."""
+    from re import _parser
+
+    def words(parsed):
+        out = []
+        for op, arg in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                out.append(chr(arg))
+            elif name == "NOT_LITERAL":
+                out.append("x")
+            elif name == "BRANCH":
+                out.append(words(arg[1][0]))
+            elif name == "SUBPATTERN":
+                out.append(words(arg[3]))
+            elif name == "MAX_REPEAT":
+                out.append(words(arg[2]) * arg[0])
+            elif name == "IN":
+                out.append(chr(arg[0][1]) if str(arg[0][0]) == "LITERAL" else "x")
+        return "".join(out)
+
+    return words(_parser.parse(pattern))
+
+
+def test_every_license_rule_is_reached_through_the_prefilter(monkeypatch):
+    rules = licenses.rules()
+    samples = [example(r.pattern.pattern.decode()) + " " for r in rules]
+    rng = random.Random(2)
+    pool = [w for s in samples for w in s.split()]
+    mixed = [" " + " ".join(rng.choice(pool) for _ in range(400)) + " " for _ in range(40)]
+    for rule, sample in zip(rules, samples):
+        assert rule.pattern.search(sample.encode()) and rule in licenses.candidates(sample.encode())
+    every = [t.encode() for t in samples + mixed + [" ".join(rng.sample(samples, 30))]]
+    gated = [licenses.detections(t) for t in every]
+    assert all(gated[: len(samples)])
+    monkeypatch.setattr(licenses, "candidates", lambda text: rules)
+    assert gated == [licenses.detections(t) for t in every]
+
+
+def test_license_names_without_the_word_license(spark):
+    want = {"released under apache 2.0": "apache-2.0", "distributed under the boost software 1.0": "bsl-1.0",
+            "published under openrail": "openrail", "artistic 2.0": "artistic-2.0", "under osl 3.0": "osl-3.0",
+            "available under bsd 3 clause": "bsd-3-clause", "mozilla public 2.0": "mpl-2.0", "GPLv3": "gpl-3",
+            "LGPLv2.1+": "lgpl-2.1", "gpl3": "gpl-3", "mit dem Zug": ""}
+    rows = [(None if i == 3 else i, t, "x", "y") for i, t in enumerate(want)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, labels string, spans string")
+    found = licenses.scan(docs).collect()
+    held = collections.Counter((r.doc_id, r.labels) for r in found)
+    assert held == {(None if i == 3 else i, x): 2 for i, x in enumerate(want.values())}
+
+
+def test_license_base_columns_equal_brute_force(spark):
+    rng = random.Random(4)
+    pool = "mit apache general public license License LICENSE the é x1 gpl".split()
+    rows = [(i, "".join(rng.choice(pool) + rng.choice([" ", " ", "-", "\n", "__"])
+                        for _ in range(rng.choice([0, 5, 300])))) for i in range(60)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    for r, (_, text) in zip(sorted(found), rows):
+        words = WORD.findall(lower(text))
+        places = sorted((a, label) for phrase, label in licenses.BASE.items() for a in range(len(words))
+                        if words[a : a + len(phrase.split())] == phrase.split())
+        labels = sorted({label for _, label in places})
+        ends = (places[0][0], places[-1][0]) if places else (None, None)
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(words), len(places), *ends)
+        assert r.base_labels == ",".join(labels) and set(labels) <= set(r.labels.split(",") if r.labels else [])
+
+
 def brute_counts(text):
     words = re.findall(r"[^\x20\x09-\x0d]+", text or "")
     windows = collections.defaultdict(list)

@@ -1,8 +1,10 @@
 """License scan: ordered signature rules with keyword gates, priority and containment.
 
 Texts are reduced to lower-case words with single blanks. A rule is a regular expression over
-that form, a label, a weight and a keyword without which it is not tried. Rules run in order;
-a detection that lies inside the interval of a kept one is suppressed.
+that form, a label, a weight and the keywords without which it is not tried: one of its name's
+and all of its form's, each a part of everything that the rule can match, so that the prefilter
+changes no result. Rules run in order; a detection that lies inside the interval of a kept one is
+suppressed.
 """
 
 from __future__ import annotations
@@ -61,17 +63,18 @@ FAMILIES = [
     ("openrail", "(?:open ?rail|responsible ai)", ()),
 ]
 
-#: Forms of a notice from the most to the least telling: pattern, weight, whether with a version.
+#: Forms of a notice from the most to the least telling: pattern, weight, keyword, whether with a
+#: version.
 FORMS = [
-    (r"spdx license identifier {name} {version}", 1.0, True),
+    (r"spdx license identifier {name} {version}", 1.0, "spdx", True),
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?"
-     r"{name}(?: international)?(?: licen[cs]e)?(?: version)? v?{version}", 0.98, True),
-    (r"{name}(?: licen[cs]e)?(?: version)? v?{version}(?: international)?(?: licen[cs]e)?", 0.9, True),
-    (r"spdx license identifier {name}", 0.95, False),
+     r"{name}(?: international)?(?: licen[cs]e)?(?: version)?(?: ?v ?| ?){version}", 0.98, "under", True),
+    (r"{name}(?: licen[cs]e)?(?: version)?(?: ?v ?| ?){version}(?: international)?(?: licen[cs]e)?", 0.9, "", True),
+    (r"spdx license identifier {name}", 0.95, "spdx", False),
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?"
-     r"{name}(?: licen[cs]e)?", 0.85, False),
-    (r"(?:see|under|subject to) the (?:terms of )?(?:the )?{name} licen[cs]e", 0.8, False),
-    (r"{name} licen[cs]ed?", 0.7, False),
+     r"{name}(?: licen[cs]e)?", 0.85, "under", False),
+    (r"(?:see|under|subject to) the (?:terms of )?(?:the )?{name} licen[cs]e", 0.8, "licen", False),
+    (r"{name} licen[cs]ed?", 0.7, "licen", False),
 ]
 
 #: Sentences of license texts and ownership notices.
@@ -83,40 +86,77 @@ SENTENCES = [
     ("this program is free software you can redistribute it and or modify it", "gpl", 0.9),
     ("this library is free software you can redistribute it and or modify it", "lgpl", 0.9),
     ("this is free and unencumbered software released into the public domain", "unlicense", 1.0),
+    ("the above copyright notice and this permission notice shall be included in all copies", "mit", 1.0),
+    ("neither the name of [^ ]+(?: [^ ]+){0,8} nor the names of its contributors may be used to endorse", "bsd-3-clause", 1.0),
+    ("all advertising materials mentioning features or use of this software must display", "bsd-4-clause", 1.0),
+    ("either version [23] of the license or at your option any later version", "gpl", 0.9),
+    ("everyone is permitted to copy and distribute verbatim copies of this license document", "gpl", 0.9),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero", "agpl", 1.0),
+    ("this source code form is subject to the terms of the mozilla public license", "mpl", 1.0),
+    ("the accompanying program is provided under the terms of this eclipse public license", "epl", 1.0),
+    ("unless required by applicable law or agreed to in writing software distributed under the license", "apache", 0.9),
+    ("altered source versions must be plainly marked as such", "zlib", 1.0),
+    ("permission is hereby granted free of charge to any person or organization obtaining a copy of the software", "bsl", 1.0),
+    ("anyone is free to copy modify publish use compile sell or distribute this software", "unlicense", 1.0),
+    ("everyone is permitted to copy and distribute verbatim or modified copies of this license document", "wtfpl", 1.0),
+    ("waived all copyright and related or neighboring rights", "cc0", 0.9),
+    ("this font software is licensed under the sil open font license", "ofl", 1.0),
+    ("permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation", "gfdl", 1.0),
     (r"(?:dedicated|released) (?:in)?to the public domain", "public-domain", 0.8),
     (r"copyright(?: c)?(?: \d{4})? [^ ]+(?: [^ ]+){0,6} all rights reserved", "proprietary", 0.6),
     ("all rights reserved", "proprietary", 0.4),
-]
+]
 
 
 class Rule(NamedTuple):
     pattern: re.Pattern
     label: str
     weight: float
-    keywords: tuple[bytes, ...]
+    names: tuple[bytes, ...]  # one of these, each at the start of a word
+    needs: tuple[bytes, ...]  # and all of these
 
 
 @functools.cache
 def rules() -> tuple[Rule, ...]:
     """All rules in order of priority: sentences, then forms, telling ones first."""
-    made = [_rule(p, label, weight, _longest(p)) for p, label, weight in SENTENCES]
-    for form, weight, versioned in FORMS:
+    made = [_rule(p, label, weight, [_longest(p)], []) for p, label, weight in SENTENCES]
+    for form, weight, word, versioned in FORMS:
         for stem, name, versions in FAMILIES:
             for version in versions if versioned else ("",):
                 label = f"{stem}-{version.replace(' ', '.')}" if version else stem
                 pattern = form.format(name=name, version=version)
-                made.append(_rule(pattern, label, weight, _marks(name)))
+                made.append(_rule(pattern, label, weight, _marks(name), [word, version]))
     return tuple(made)
 
 
-def _rule(pattern: str, label: str, weight: float, keywords: list[str]) -> Rule:
+def _rule(pattern: str, label: str, weight: float, names: list[str], needs: list[str]) -> Rule:
     own = re.compile(f" {pattern}(?= )".encode())
-    return Rule(own, label, weight, tuple(k.encode() for k in keywords))
+    return Rule(
+        own, label, weight,
+        tuple(f" {k}".encode() for k in names), tuple(k.encode() for k in needs if k),
+    )
+
+
+@functools.cache
+def _gates() -> tuple[list[bytes], list[bytes]]:
+    """Every keyword of a name, and every other keyword, of all rules."""
+    names = {k for rule in rules() for k in rule.names}
+    return sorted(names), sorted({k for rule in rules() for k in rule.needs})
+
 
+def candidates(text: bytes) -> list[Rule]:
+    """The rules whose keywords the text has, in order; no other rule can match."""
+    names, needs = _gates()
+    named = {k for k in names if k in text}
+    if not named:
+        return []
+    there = {k for k in needs if k in text}
+    return [r for r in rules() if not named.isdisjoint(r.names) and there.issuperset(r.needs)]
 
-def _longest(sentence: str) -> list[str]:
+
+def _longest(sentence: str) -> str:
     plain = re.sub(r"\([^()]*\)\S*|\[\S*|\\\S+", " ", sentence)
-    return [max((w for w in plain.split() if w.isalnum()), key=len)]
+    return max((w for w in plain.split() if w.isalnum()), key=len)
 
 
 def _marks(name: str) -> list[str]:
@@ -126,22 +166,13 @@ def _marks(name: str) -> list[str]:
     return [w.split(" ?")[0] for w in (group[1] if group else first).split("|")]
 
 
-#: A text without any of these is not searched: the keywords of all rules, in short.
-GATES = (b"licen", b"copyright", b"rights reserved", b"public domain", b"hereby granted",
-         b"redistribut", b"permission to use", b"in compliance with", b" gpl ", b" lgpl ",
-         b" agpl ", b" mpl ", b" epl ", b" cddl ", b" eupl ", b" cc by ", b" cc0 ",
-         b"creative commons")
-
-
 def detections(text: bytes) -> list[tuple[int, int, str, float]]:
     """(start, end, label, weight) kept by priority and containment; text is ' word word '."""
     kept: list[tuple[int, int, str, float]] = []
     # outermost intervals by start; none contains another, so their ends ascend too
     starts: list[int] = []
     ends: list[int] = []
-    for rule in rules():
-        if not any(k in text for k in rule.keywords):
-            continue
+    for rule in candidates(text):
         for m in rule.pattern.finditer(text):
             start, end = m.start() + 1, m.end()
             at = bisect.bisect_right(starts, start)
@@ -179,7 +210,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
     spans: label:first word:end word of kept detections. score: the greatest weight of a kept
     detection, at least 0.7 beside a base phrase, else 0. Null and empty texts have no words;
-    repeated rows are scanned once each; other columns are not read.
+    repeated rows are scanned once each; other columns are not read. Of equal intervals the rule
+    listed first stays. Texts of any length are scanned whole, each in one task.
     """
 
     def scan_batches(batches):
@@ -198,8 +230,6 @@ _NOTHING = (0, None, None, "", "", 0.0, "")
 
 def _scan_words(words: list[bytes]) -> tuple:
     text = b" " + b" ".join(words) + b" "
-    if not any(g in text for g in GATES):
-        return _NOTHING
     base = base_places(text)
     found = detections(text)
     if not base and not found:
