@@ -30,6 +30,27 @@ def test_page_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p title="abc>five six</p><p>seven</p>', ["five six", "seven"]),
+    ("<p title='abc>five six", ["five six"]),
+    ('<p>one</p><p class="a', ["one"]),
+    ('<p>one<br title="x>two</p>', ["one two"]),
+    ('<p title="a>b" lang="c>five</p>', ["five"]),
+    ("<p don't>five</p><p>it's</p>", ["five", "it's"]),
+    ("<p title = 'a>b' x=\"c>d\">five</p>", ["five"]), ("<p x==y='>five</p>", ["five"]),
+    ("<p>3 < 4 and a<b>c</b></p>", ["3 < 4 and ac"]),
+    ("<", ["<"]), ("", []),
+])
+def test_broken_markup_never_becomes_text(page, want):
+    assert [n.text for n in html_text.tree_of(page) if n.tag == "#text"] == want
+
+
+def test_very_long_broken_page_is_read_in_one_pass():
+    page = '<div><p title="x>word</p></div>' + "<p>'plain' \"word\"</p>" * 20_000 + '<p id="'
+    found = [n.text for n in html_text.tree_of(page) if n.tag == "#text"]
+    assert found == ["'plain' \"word\""] * 19_999  # the first opens inside the quotes
+
+
 def test_messages_equal_exact_marginals():
     nodes = html_text.tree_of("<div><p>one two</p><p>three</p></div><nav>four</nav>")
     weights, edge = html_text.PRIOR, html_text.PRIOR_EDGE

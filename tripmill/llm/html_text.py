@@ -49,8 +49,11 @@ CONTENTS = set("article content post entry story main body text articlebody".spl
 ARTICLE = {"article", "main"}
 BOILER_TAGS = {"nav": -7.0, "footer": -7.0, "aside": -7.0, "header": -3.0, "address": -2.0}
 
+#: Quotes count after = only. One that nothing closes counts for nothing: the tag ends at the next >
+#: or with the page. Every run after <letter matches, so no tag becomes text.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)",
+    r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)"
+    r"((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[\"']|))*+)(?:>|$)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
