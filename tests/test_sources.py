@@ -81,6 +81,36 @@ def test_series_lines_belong_together(trips, tmp_path):
     assert lines(base)[0] == "tag,n"
 
 
+def test_missing_and_empty_tags_stay_apart(spark, tmp_path):
+    base = str(tmp_path / "tags")
+    rows = [(None, 3), ("", 2), ("a,b", 1), ('say "x"', 5), ("N", None)]
+    series = spark.createDataFrame(rows, "tag string, n bigint")
+    sinks.write_series(series, base, "tag", "n")
+    back = sinks.read_series(spark, base, "tag string, n bigint")
+    assert sorted(back.collect(), key=repr) == sorted(series.collect(), key=repr)
+    tags = {r.line: r.text for r in sinks.read_lines(spark, base + "Tags").collect()}
+    values = {r.line: r.text for r in sinks.read_lines(spark, base + "Values").collect()}
+    assert sorted(tags) == sorted(values) == [1, 2, 3, 4, 5]
+    assert (tags[1], values[1]) == (sinks.MISSING, "3") and (tags[2], values[2]) == ('""', "2")
+    assert ("N", sinks.MISSING) in {(tags[k], values[k]) for k in tags}
+
+
+def test_lines_are_numbered_over_parts_and_splits(spark, tmp_path):
+    path = str(tmp_path / "many")
+    numbers = spark.range(0, 20_000, 1, 7).selectExpr("cast(id as string) as value")
+    numbers.write.text(path)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for bytes_ in ("4096", "1000000"):  # parts cut into splits, parts packed together
+            spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_)
+            found = sinks.read_lines(spark, path).collect()
+            assert sorted((r.line, int(r.text)) for r in found) == [(k + 1, k) for k in range(20_000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.range(0).selectExpr("cast(id as string) as value").write.text(path + "-none")
+    assert sinks.read_lines(spark, path + "-none").count() == 0
+
+
 def test_histogram_ranges_are_edges(trips, tmp_path):
     base = str(tmp_path / "pickup_latitude")
     histogram = profile.histogram(trips, "pickup_latitude")

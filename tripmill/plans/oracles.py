@@ -491,6 +491,11 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "csv_scan_roundtrip": _sql(f"select {_PRINTED} from trips"),
         "series_sink": _frequency("passenger_count"),
+        "series_sink_lines": (
+            "select row_number() over (order by tag nulls first) as line, cast(n as varchar) as value,"
+            r" coalesce(cast(tag as varchar), '\N') as tag"
+            f" from ({_frequency('trip_duration')})"
+        ),
         "histogram_sink": _histogram("pickup_longitude", fields="bucket, lo, hi, n"),
         "grid_sink": _grid("pickup"),
         "matrix_sink": _corr_lines(with_names=False),

@@ -106,6 +106,18 @@ def series_sink(spark, sf_dir):
     return sinks.read_series(spark, base, "tag int, n bigint")
 
 
+@_register
+def series_sink_lines(spark, sf_dir):
+    """Values and Tags of a series read back by line number."""
+    base = scratch_dir(spark, "durations")
+    series = profile.frequency(trips(spark, sf_dir), "trip_duration")
+    sinks.write_series(series, base, "tag", "n")
+    values, tags = (sinks.read_lines(spark, base + part) for part in ("Values", "Tags"))
+    return values.withColumnRenamed("text", "value").join(
+        tags.withColumnRenamed("text", "tag"), "line", "full"
+    )
+
+
 @_register
 def histogram_sink(spark, sf_dir):
     base = scratch_dir(spark, "histogram")

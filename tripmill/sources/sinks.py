@@ -8,9 +8,12 @@ parts that are ordered among themselves; nothing is gathered into one task by fo
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: How a missing value is written in tables, Values, Tags and Ranges; '' is written as "".
+MISSING = r"\N"
+
 
 def write_series(series: DataFrame, base: str, tag: str, value: str) -> None:
     """A series as a CSV table at <base>, plus its two columns as <base>Values and <base>Tags.
@@ -51,12 +54,12 @@ def write_matrix(matrix: DataFrame, base: str) -> None:
 
 def write_table(table: DataFrame, base: str) -> DataFrame:
     """Write a CSV table and return it as stored, so that the source is read only once."""
-    table.write.mode("overwrite").option("header", True).csv(base)
-    return table.sparkSession.read.schema(table.schema).option("header", True).csv(base)
+    table.write.mode("overwrite").options(header=True, nullValue=MISSING).csv(base)
+    return read_series(table.sparkSession, base, table.schema)
 
 
 def _write_lines(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path)
+    df.write.mode("overwrite").option("nullValue", MISSING).csv(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -68,6 +71,28 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def read_series(spark: SparkSession, base: str, schema: str) -> DataFrame:
+def read_series(spark: SparkSession, base: str, schema) -> DataFrame:
     """Read back a table written by write_series or write_histogram."""
-    return spark.read.schema(schema).option("header", True).csv(base)
+    return spark.read.schema(schema).options(header=True, nullValue=MISSING).csv(base)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, text): the lines of a text sink, numbered from 1 over all of its parts in order.
+
+    Every split of a part counts its own lines; offsets come from the counts, a row per split, so
+    that no line is sorted. Equal line numbers of a series' Values and Tags belong together.
+    """
+    split = ["file", "block"]
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),  # ascends by one within a split
+        F.col("value").alias("text"),
+    )
+    counts = lines.groupBy(split).agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    # part numbers have five digits or more
+    before = Window.orderBy(F.length("file"), *split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*split, "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("k"))
+    return lines.join(offsets, split).select(
+        (F.col("k") + F.col("at") - F.col("first") + 1).alias("line"), "text"
+    )
