@@ -7,6 +7,7 @@ import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripmill.llm import decontam, licenses, minhash, packing, quality, secrets, suffixes
 from tripmill.llm.queries import tokenizer_file
@@ -118,8 +119,43 @@ def test_decontamination(spark, docs, rows):
 def test_large_benchmark_takes_the_shuffled_way(spark, docs, rows, monkeypatch):
     bench = spark.createDataFrame([(1, rows[0][1])], "item_id bigint, text string")
     few = decontam.decontaminate(docs, bench).collect()
-    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    left = decontam.drop_contaminated(docs, bench).count()
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
     same(decontam.decontaminate(docs, bench).collect(), list(map(tuple, few)))
+    assert decontam.drop_contaminated(docs, bench).count() == left
+
+
+def test_decontamination_of_odd_benchmarks(spark):
+    run = [f"word{i}" for i in range(30)]
+    texts = [(1, " ".join(run)), (1, "other words"), (None, "Alpha beta"), (2, ""), (3, None), (4, "alpha")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").withColumn("items", F.lit("x"))
+
+    def report(items):
+        bench = spark.createDataFrame(items, "item_id bigint, text string")
+        rows = decontam.decontaminate(docs, bench).collect()
+        return sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r["items"]) for r in rows)
+
+    clean = [("1", 2, 0, 0, []), ("1", 30, 0, 0, []), ("2", 0, 0, 0, []), ("3", 0, 0, 0, []),
+             ("4", 1, 0, 0, []), ("None", 2, 0, 0, [])]
+    assert report([]) == clean
+    # a null item counts and is not listed; repeated ones count once; many share one passage
+    shared = [(i, " ".join(run[5:20])) for i in (7, 7, 8, 9, None)] + [(7, "ALPHA! beta")]
+    assert report(shared) == [("1", 2, 0, 0, []), ("1", 30, 15, 4, ["7", "8", "9"]), *clean[2:5],
+                              ("None", 2, 2, 1, ["7"])]
+
+
+def test_a_shared_fingerprint_alone_is_no_hit(spark):
+    # the window's least 5-gram is kept, its other words are changed
+    bench = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(10)))], "item_id bigint, text string")
+    near = []
+    for a in range(6):
+        words = [f"w{i}" if a <= i < a + 5 else f"other{i}" for i in range(10)]
+        near.append((a, " ".join(words)))
+    docs = spark.createDataFrame(near, "doc_id bigint, text string")
+    found = decontam.benchmark_windows(bench)
+    assert found.count() == 1
+    assert decontam.fingerprint_hits(docs, found, 10, 5).count() > 0
+    assert decontam.decontaminate(docs, bench).filter("contaminated").count() == 0
 
 
 def test_licenses(spark):
