@@ -226,7 +226,7 @@ def scorer(tables: dict[str, list]):
     return score if tables else None
 
 
-EXAMPLES = "kind string, token string"
+EXAMPLES = "kind string, bin bigint, h bigint, token string"
 SPANS = (
     "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string,"
     " spans string, code bigint"
@@ -236,10 +236,13 @@ SPANS = (
 def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(kind, token): at most `sample` different tokens per base kind and kind of ordinary token.
 
-    Which ones is decided by their hash alone, so it does not depend on order or partitions.
+    Which ones is decided by their hash alone, so it does not depend on order or partitions: the
+    least hash of each of `sample` bins. A task sends on its own least ones, a few thousand rows
+    however long its texts are.
     """
 
     def find(batches):
+        best: dict[tuple[str, int], tuple[int, str]] = {}
         for batch in batches:
             rows = set()
             for raw in utf8(batch):
@@ -250,14 +253,17 @@ def labelled(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                     if (kind := ordinary_kind(text[a:b])) is not None:
                         if not any(a < y and x < b for x, _, y, _ in base):
                             rows.add((kind, text[a:b][:SCORED]))
-            yield arrow_rows(sorted(rows), EXAMPLES)
-
-    tokens = docs.mapInArrow(find, EXAMPLES).distinct()
-    least = F.min_by(F.struct("kind", "token"), "h")
-    # the smallest hash of each of `sample` bins: a sample without sorting a kind in one task
-    h = F.xxhash64("token")
-    bins = tokens.withColumns({"h": h, "bin": F.pmod(F.xxhash64("token", F.lit(1)), F.lit(sample))})
-    return bins.groupBy("kind", "bin").agg(least.alias("x")).select("x.kind", "x.token")
+            for kind, token in rows:
+                digest = hashlib.blake2b(token.encode("utf-8", "replace"), digest_size=15).digest()
+                at = kind, int.from_bytes(digest[8:], "little") % sample
+                own = int.from_bytes(digest[:8], "little", signed=True), token
+                if at not in best or own < best[at]:
+                    best[at] = own
+        yield arrow_rows([(k, b, h, t) for (k, b), (h, t) in sorted(best.items())], EXAMPLES)
+
+    tokens = docs.mapInArrow(find, EXAMPLES)
+    least = F.min(F.struct("h", "token")).alias("x")
+    return tokens.groupBy("kind", "bin").agg(least).select("kind", "x.token")
 
 
 def scan(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
