@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripmill.llm import byte_network, phrases, repair
@@ -241,6 +242,57 @@ def test_phrases_equal_brute_force(spark, phrase_rows, sizes):
         assert {tuple(r) for r in found} == phrase_table(phrase_rows, least, top) and len(found) > 10
 
 
+class Held:
+    """A frame and a context that hand back the function of a task, or a value."""
+
+    sparkContext = sparkSession = property(lambda self: self)
+
+    def mapInArrow(self, task, schema):
+        return task
+
+    def broadcast(self, value):
+        return type("Sent", (), {"value": value})
+
+
+def word_batches(n, langs, rows=50):
+    words = [f"w{k:07d}" for k in range(n)]
+    step = max(1, n // rows)
+    for a in range(0, n, step):
+        text = " ".join(words[a : a + step])
+        yield pa.RecordBatch.from_pylist([{"lang": lang, "text": text} for lang in langs])
+
+
+def test_first_pass_holds_few_bytes_a_word():
+    import tracemalloc
+
+    task = phrases._runs(Held(), 10, None, phrases.Sizes())
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows - b.column("phrase").null_count for b in task(word_batches(60_000, ["en"])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # what counting takes whatever the words: pairs, waiting ids, an emitted batch
+    assert found == 60_000 and peak < 60_000 * 400 + (4 << 20)
+
+
+def test_words_of_all_languages_share_one_bound():
+    seen, sizes = [], phrases.Sizes(lexicon=1000)
+
+    def batches():
+        for batch in word_batches(900, [f"l{k}" for k in range(8)]):
+            seen.append(batch)
+            yield batch
+
+    counts, early = collections.Counter(), None
+    for b in phrases._runs(Held(), 10, None, sizes)(batches()):
+        early = early or len(seen)
+        for lang, phrase, n in zip(*(b.column(c).to_pylist() for c in ("lang", "phrase", "n"))):
+            if phrase:
+                counts[lang, phrase] += n
+    assert early < len(seen) and len(counts) == 8 * 900 and set(counts.values()) == {1}
+
+
 def test_phrases_of_an_empty_table(spark, phrase_rows):
     assert phrases.collocations(phrase_frame(spark, phrase_rows).limit(0)).collect() == []
 

@@ -17,6 +17,7 @@ then drops, so a full table costs time, not results.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,15 +39,15 @@ class Sizes:
     """What bounds the memory of a task; results do not depend on it.
 
     burst: entries of a container that bursts. budget: entries of all tries together. lexicon:
-    different words known of one language before it begins anew. chunk: words that are counted
-    together. pairs: pairs that make a run. part: bytes of a text that are read together.
+    different words known of all languages together before they begin anew. chunk: words that are
+    counted together. pairs: pairs that make a run. part: bytes of a text that are read together.
     """
 
     burst: int = 1 << 12
     budget: int = 1 << 20
-    lexicon: int = 1 << 20
-    chunk: int = 1 << 19
-    pairs: int = 1 << 22
+    lexicon: int = 1 << 19
+    chunk: int = 1 << 18
+    pairs: int = 1 << 20
     part: int = 1 << 20
 
 
@@ -132,7 +133,7 @@ class _Lexicon(dict):
 
     def __init__(self, lang: str, known: bytes | None):
         self.lang, self.known = lang, known
-        self.words, self.hashes = [END], [0]
+        self.words, self.hashes = [END], array("Q", [0])
         self[END] = 0
 
     def __missing__(self, word: bytes) -> int:
@@ -194,12 +195,15 @@ def merge_runs(runs: list[bytes]):
 class _Language:
     """What a task holds of one language: its words, its trie and ids not counted yet.
 
-    Without tables (the first pass) words are counted by id, and pairs are handed on by place;
-    with them phrases of two to LONGEST words go into the trie.
+    Without tables (the first pass) words are counted in an array by id, and pairs are handed on
+    by place; with them phrases of two to LONGEST words go into the trie.
     """
 
     def __init__(self, lang: str, tables: tuple[bytes, bytes] | None, sizes: Sizes):
+        import numpy as np
+
         self.lang, self.tables, self.sizes = lang, tables, sizes
+        self.word_counts = np.zeros(0, np.int64)
         self.lexicon = _Lexicon(lang, tables and tables[0])
         self.trie = HatTrie(2, sizes.burst)
         self.waiting: list = []
@@ -226,13 +230,13 @@ class _Language:
         ids = np.concatenate(self.waiting)
         self.waiting, self.n_waiting = [], 0
         linked = (ids[:-1] > 0) & (ids[1:] > 0)
-        hashes = np.array(self.lexicon.hashes, dtype=np.uint64)[ids]
+        hashes = np.frombuffer(self.lexicon.hashes, np.uint64)[ids]
         places = pair_places(hashes[:-1], hashes[1:])
         if self.tables is None:
             self.places.append(places[linked])
-            counts = np.bincount(ids)
-            for i in np.flatnonzero(counts[1:]).tolist():
-                self.trie.add((i + 1,), int(counts[i + 1]))
+            counts = np.bincount(ids, minlength=len(self.lexicon.words))
+            counts[: len(self.word_counts)] += self.word_counts
+            self.word_counts = counts
             return
         table, bit = np.frombuffer(self.tables[1], np.uint8), places >> np.uint64(PLACE - BITS)
         linked &= (table[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
@@ -256,6 +260,13 @@ class _Language:
         words = self.lexicon.words
         return sorted((b" ".join([words[i] for i in key]), n) for key, n in self.trie.spill(keep))
 
+    def counted_words(self, size: int) -> Iterator[list[tuple[bytes, int]]]:
+        """The words counted by id, `size` at a time."""
+        words, counts = self.lexicon.words, self.word_counts
+        for at in range(1, len(counts), size):
+            own = zip(words[at : at + size], counts[at : at + size].tolist())
+            yield [(word, n) for word, n in own if n]
+
 
 def _parts(text: bytes, size: int) -> Iterator[bytes]:
     """A text in parts of about `size` bytes that end where a piece ends; a piece stays whole."""
@@ -285,6 +296,15 @@ def _runs(
             for at in range(0, len(run), 1 << 15):
                 yield _phrase_batch(language.lang, run[at : at + (1 << 15)])
 
+        def emit_all():
+            for language in languages.values():
+                language.count()
+                yield from emit(language)
+                for words in language.counted_words(1 << 15):
+                    if words:
+                        yield _phrase_batch(language.lang, words)
+            yield from emit_pairs()
+
         def emit_pairs():
             found = [x for language in languages.values() for x in language.places]
             for language in languages.values():
@@ -300,10 +320,9 @@ def _runs(
                     language = languages[lang] = _Language(lang, known, sizes)
                 for part in _parts(text.as_py(), sizes.part):
                     language.read(part)
-                    if len(language.lexicon) > sizes.lexicon:
-                        language.count()
-                        yield from emit(language)
-                        yield from emit_pairs()
+                    if sum(len(x.lexicon) for x in languages.values()) > sizes.lexicon:
+                        yield from emit_all()
+                        languages.clear()
                         language = languages[lang] = _Language(lang, known, sizes)
                 if sum(x.trie.entries + x.n_waiting for x in languages.values()) > sizes.budget:
                     for x in languages.values():
@@ -316,10 +335,7 @@ def _runs(
                             over -= before - x.trie.entries
                 if sum(len(p) for x in languages.values() for p in x.places) > sizes.pairs:
                     yield from emit_pairs()
-        for language in languages.values():
-            language.count()
-            yield from emit(language)
-        yield from emit_pairs()
+        yield from emit_all()
 
     return texts.mapInArrow(count, RUNS)
 
