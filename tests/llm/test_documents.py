@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +273,52 @@ def test_kneser_ney_sums_to_one():
     assert np.allclose(table.sum(axis=1), 1, atol=1e-3)
 
 
+def test_kneser_ney_over_all_bytes_equals_a_model_by_dictionary():
+    """Sums, back-off and interpolation of unfolded 5-grams, against plain recursion."""
+    texts = [b"the cat sat.", b"THE Cat, the c\xc3\xa0t", b"", b"\x00\x01 a", b"the the the cat #%$ 0189"]
+    counts = collections.Counter()
+    for t in texts:
+        counts.update(quality._keys(t).tolist())
+        assert len(quality._keys(t)) == len(t)
+    padded = [b"\xff" * 4 + t for t in texts]
+    level = {5: collections.Counter(p[a : a + 5] for p in padded for a in range(len(p) - 4))}
+    assert counts == {int.from_bytes(g, "big"): n for g, n in level[5].items()}  # no two bytes alike
+    for k in range(4, 0, -1):
+        level[k] = collections.Counter(g[1:] for g, n in level[k + 1].items() if n)
+        level[k].update({g[:-1]: 0 for g in level[k + 1]})
+    level[1].update({bytes([b]): 0 for b in range(256)})
+    discount = {k: quality._discounts(np.array(list(level[k].values()))) for k in level}
+
+    def p(gram):
+        lower = p(gram[1:]) if len(gram) > 1 else 1 / 256
+        own = {g: n for g, n in level[len(gram)].items() if g[:-1] == gram[:-1]}
+        total, off = sum(own.values()), discount[len(gram)]
+        if not total:
+            return lower
+        here = level[len(gram)][gram]
+        return (here - off[min(here, 3)] + sum(off[min(n, 3)] for n in own.values()) * lower) / total
+
+    model = quality.fit_kneser_ney(np.array(list(counts)), np.array(list(counts.values())), 256, 5)
+    scores = quality.Scores(quality.packed("en", model))
+    keys = np.array(list(counts), dtype=np.uint64)
+    found = np.exp(scores.by_lang["en"][scores.places(keys)].astype(float))
+    assert np.allclose(found, [p(int(k).to_bytes(5, "big")) for k in counts], rtol=1e-4)
+    for context in (b"the ", b"zzzz", b"\xff" * 4, b"zthe", b" the"):
+        every = [int.from_bytes(context + bytes([b]), "big") for b in range(256)]
+        table = np.exp(quality.expand(model, np.array(every), 256).astype(float))
+        assert abs(table.sum() - 1) < 1e-3
+        assert np.allclose(table, [p(k.to_bytes(5, "big")) for k in every], rtol=1e-4)
+    unseen = scores.places(np.array([int.from_bytes(b"zzzzz", "big")], np.uint64))
+    assert np.allclose(scores.by_lang["en"][unseen], -np.log(256))
+
+
+def test_scores_find_every_counted_gram():
+    grams = np.unique(np.random.default_rng(3).integers(0, 256**5, 20_000))
+    model = quality.fit_kneser_ney(grams, np.ones(len(grams), np.int64), 256, 5)
+    scores = quality.Scores(quality.packed("x", model))
+    assert (scores.places(grams.astype(np.uint64)) == np.arange(len(grams))).all()
+
+
 def brute_removed(rows, length):
     count = collections.Counter()
     for _, t in rows:

@@ -1,9 +1,9 @@
 """Quality rules: counts over a text, and n-gram perplexity inside bands of its language.
 
-The language model is a modified Kneser-Ney model over 4-grams of text symbols. Bytes are folded
-into 32 symbols, so that the model of a language has a fixed greatest size (2^20 4-grams) however
-large the corpus is, while its counts come from every byte of every text. Spark counts the
-4-grams and fits one model per language; a model is kept as sorted arrays of n-gram keys.
+The language model is a modified Kneser-Ney model over 5-grams of the texts' bytes, all 256 of
+them: every 5-gram of every text is counted, and a model has an entry for each that occurs, so it
+grows with what the corpus holds. Spark counts the 5-grams and fits one model per language; a
+model is kept as sorted arrays of n-gram keys.
 """
 
 from __future__ import annotations
@@ -14,84 +14,98 @@ from pyspark.sql.types import StructField, StructType
 
 from tripmill.llm.common import SPACE, arrow_rows, stored, unused, utf8
 
-ORDER = 4
-SYMBOLS = 32
+ORDER = 5
+SYMBOLS = 256
 #: The most frequent languages with a model of their own; all others share one. Bounds what is
-#: broadcast: 17 models of at most 2^20 + 2^15 + 2^10 + 2^5 entries.
+#: broadcast: the probability of each 5-gram that occurs, in at most 17 models.
 LANGUAGES = 16
 OTHER = "*"
 #: Width of the bands, in quartile distances from the median of the language.
-BAND = 8.0
-#: No band is narrower than so many nats a symbol, widened for short texts.
-FLOOR = 0.06
+BAND = 5.0
+#: No band is narrower than so many nats a byte, widened for short texts.
+FLOOR = 0.03
 
-_EDGE, _BLANK, _DIGIT, _STOP, _MARK, _LEAD = 0, 27, 28, 29, 30, 31
+#: Stands before a text; no byte of UTF-8.
+PAD = b"\xff" * (ORDER - 1)
+#: 5-grams that a task gathers before it counts them, and different ones that it holds of all languages.
+GATHERED, HELD = 1 << 21, 1 << 21
 
 
-def _fold() -> bytes:
-    """Byte to symbol: letters 1-26, blank, digit, . and ,, other marks, lead bytes of UTF-8."""
-    table = bytearray([_MARK] * 256)
-    for b in range(256):
-        c = chr(b)
-        if b < 128 and c.isalpha():
-            table[b] = ord(c.lower()) - 96
-        elif b < 128 and c.isdigit():
-            table[b] = _DIGIT
-        elif b in SPACE:
-            table[b] = _BLANK
-        elif c in ".,":
-            table[b] = _STOP
-        elif b >= 0xC0:
-            table[b] = _LEAD
-        elif b >= 0x80:  # what follows a lead byte tells letters apart
-            table[b] = 1 + b % 26
-    return bytes(table)
-
+def _keys(text: bytes):
+    """The 5-gram key of every byte, the first ones with edge symbols before them."""
+    import numpy as np
 
-FOLD = _fold()
-PAD = bytes(ORDER - 1)
+    s = np.frombuffer(PAD + text, dtype=np.uint8).astype(np.uint64)
+    two = (s[:-1] << np.uint64(8)) | s[1:]
+    four = (two[:-2] << np.uint64(16)) | two[2:]
+    return (four[:-1] << np.uint64(8)) | s[4:]
 
 
-def _keys(text: bytes):
-    """The 4-gram key of every byte, the first ones with edge symbols before them."""
-    import numpy as np
+COUNTS = "lang string, gram bigint, n bigint"
 
-    s = np.frombuffer(PAD + text.translate(FOLD), dtype=np.uint8).astype(np.int32)
-    return (s[:-3] << 15) | (s[1:-2] << 10) | (s[2:-1] << 5) | s[3:]
 
+def _summed(keys, counts):
+    """(keys, counts): sorted, each key once."""
+    import numpy as np
 
-COUNTS = "lang string, gram int, n bigint"
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n): every 4-gram of every text; docs has (lang, text).
+def count_grams(docs: DataFrame, gathered: int = GATHERED, held: int = HELD) -> DataFrame:
+    """(lang, gram, n): every 5-gram of every text; docs has (lang, text).
 
-    Tasks add up their own counts first, in one array per language (8 MB; at most LANGUAGES + 1).
+    Tasks add up their own counts first. gathered and held bound their memory, not the result: when
+    a task holds more than `held` different 5-grams it sends them on and begins anew.
     """
 
     def count(batches):
         import numpy as np
         import pyarrow as pa
 
-        totals: dict[str, np.ndarray] = {}
+        totals: dict[str, tuple] = {}
+        waiting: dict[str, list] = {}
+        n_waiting = 0
+
+        def add():
+            for lang, keys in waiting.items():
+                found, counts = np.unique(np.concatenate(keys), return_counts=True)
+                if lang in totals:
+                    before = totals[lang]
+                    found = np.concatenate([before[0], found])
+                    found, counts = _summed(found, np.concatenate([before[1], counts]))
+                totals[lang] = found, counts
+            waiting.clear()
+
+        def emit():
+            for lang, (keys, counts) in totals.items():
+                for at in range(0, len(keys), 1 << 16):
+                    own = keys[at : at + (1 << 16)].astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.repeat(pa.scalar(lang, pa.string()), len(own)),
+                            pa.array(own),
+                            pa.array(counts[at : at + (1 << 16)].astype(np.int64)),
+                        ],
+                        names=["lang", "gram", "n"],
+                    )
+            totals.clear()
+
         for batch in batches:
-            by_lang: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch)):
-                by_lang.setdefault(lang, []).append(_keys(text))
-            for lang, keys in by_lang.items():
-                if lang not in totals:
-                    totals[lang] = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
-                totals[lang] += np.bincount(np.concatenate(keys), minlength=SYMBOLS**ORDER)
-        for lang, total in totals.items():
-            grams = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(grams), pa.string()),
-                    pa.array(grams.astype(np.int32)),
-                    pa.array(total[grams]),
-                ],
-                names=["lang", "gram", "n"],
-            )
+                if not text:
+                    continue
+                waiting.setdefault(lang, []).append(_keys(text))
+                n_waiting += len(text)
+                if n_waiting > gathered:
+                    add()
+                    n_waiting = 0
+                    if sum(len(keys) for keys, _ in totals.values()) > held:
+                        yield from emit()
+        add()
+        yield from emit()
 
     parts = docs.mapInArrow(count, COUNTS)
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -109,59 +123,69 @@ def _discounts(counts) -> list[float]:
     return [0.0, *(min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1))]
 
 
-def fit_kneser_ney(grams, counts) -> list[tuple]:
+def _levels(grams, counts, symbols: int, order: int) -> list[tuple]:
+    """(keys, counts) by order from 1, sorted by key: below the top, how many symbols may stand before
+    an n-gram. Contexts that follow nothing, as edge symbols make, and single symbols count 0."""
+    import numpy as np
+
+    by_key = np.argsort(grams)
+    levels = [(np.asarray(grams, np.int64)[by_key], np.asarray(counts, np.int64)[by_key])]
+    for k in range(order - 1, 0, -1):
+        keys, c = levels[-1]
+        own, c_own = np.unique(keys[c > 0] % symbols**k, return_counts=True)
+        every = np.union1d(own, np.arange(symbols) if k == 1 else keys // symbols)
+        c_every = np.zeros(len(every), np.int64)
+        c_every[np.searchsorted(every, own)] = c_own
+        levels.append((every, c_every))
+    return levels[::-1]
+
+
+def fit_kneser_ney(grams, counts, symbols: int = 32, order: int = 4) -> list[tuple]:
     """(order, keys, log_p, log_backoff) of a modified Kneser-Ney model, sorted by key.
 
-    log_p: interpolated, of each n-gram that occurs or is a context; log_backoff: of each such
-    n-gram as a context (0 where it is none). An n-gram that is not there has the log_p of the next lower
-    order plus the log_backoff of its context.
+    grams: different n-grams of `order` symbols as numbers of base `symbols`. log_p: interpolated,
+    of each n-gram that occurs or is a context, and of all single symbols; log_backoff: of each
+    such n-gram as a context (0 where it is none). An n-gram that is not there has the log_p of the
+    next lower order plus the log_backoff of its context.
     """
     import numpy as np
 
-    c = np.zeros(SYMBOLS**ORDER, dtype=np.int64)
-    c[grams] = counts
-    levels = [c.reshape((SYMBOLS,) * ORDER)]
-    while levels[-1].ndim > 1:  # below the top, count the symbols that may stand before
-        levels.append(np.count_nonzero(levels[-1], axis=0))
-    lower = np.full((), 1 / SYMBOLS)
-    fitted, gammas = [], []
-    for c in reversed(levels):
+    fitted: list[tuple] = []
+    for k, (keys, c) in enumerate(_levels(grams, counts, symbols, order), 1):
+        lower = np.exp(_log_p(fitted, keys % symbols ** (k - 1), symbols)) if fitted else 1 / symbols
         d = np.array(_discounts(c))
         off = d[np.minimum(c, 3)]
-        total = c.sum(axis=-1, keepdims=True)
-        seen = total > 0
-        gamma = np.where(seen, off.sum(axis=-1, keepdims=True) / np.maximum(total, 1), 1.0)
-        p = np.where(seen, (c - off) / np.maximum(total, 1), 0.0) + gamma * lower
-        fitted.append((c, p))
-        gammas.append(gamma[..., 0])
-        lower = p
-    out = []
-    for k, (c, p) in enumerate(fitted):
-        context = gammas[k + 1].ravel() if k + 1 < len(gammas) else np.ones(c.size)
-        # edge symbols make contexts that follow nothing; all single symbols are kept
-        keys = np.flatnonzero((c.ravel() > 0) | (context != 1) | (k == 0))
-        out.append(
-            (k + 1, keys.astype(np.int32), np.log(p.ravel()[keys]), np.log(context[keys]))
-        )
-    return out
-
-
-def expand(model: list[tuple]):
-    """The log-probability of each of the 2^20 4-grams, looked up in the sorted arrays."""
+        contexts, which = np.unique(keys // symbols, return_inverse=True)
+        total = np.bincount(which, c)
+        gamma = np.where(total > 0, np.bincount(which, off) / np.maximum(total, 1), 1.0)
+        p = (c - off) / np.maximum(total, 1)[which] + gamma[which] * lower
+        if fitted:
+            fitted[-1][3][np.searchsorted(fitted[-1][1], contexts)] = np.log(gamma)
+        fitted.append((k, keys, np.log(p), np.zeros(len(keys))))
+    return fitted
+
+
+def _log_p(model: list[tuple], grams, symbols: int):
+    """The log-probability of n-grams of the model's highest order."""
     import numpy as np
 
-    at = np.arange(SYMBOLS**ORDER)
-    unigram = {int(k): v for k, v in zip(*model[0][1:3])}
-    floor = min(unigram.values()) if unigram else -np.log(SYMBOLS)
-    out = np.array([unigram.get(k, floor) for k in range(SYMBOLS)])[at % SYMBOLS]
+    out = model[0][2][grams % symbols]
     contexts = model[0]
     for order, keys, log_p, log_backoff in model[1:]:
-        own = at % SYMBOLS**order
+        own = grams % symbols**order
         _, below, _, backoff = contexts
-        out = out + _found(own // SYMBOLS, below, backoff, 0.0)
+        out = out + _found(own // symbols, below, backoff, 0.0)
         out = np.where(_has(own, keys), _found(own, keys, log_p, 0.0), out)
         contexts = (order, keys, log_p, log_backoff)
-    return out.astype(np.float32)
+    return out
+
+
+def expand(model: list[tuple], grams=None, symbols: int = 32):
+    """The log-probability of each of the grams; without them, of all that there could be."""
+    import numpy as np
+
+    grams = np.arange(symbols ** len(model)) if grams is None else grams
+    return _log_p(model, grams, symbols).astype(np.float32)
 
 
 def _has(values, keys):
@@ -182,18 +206,31 @@ def _found(values, keys, results, default: float):
     return np.where(keys[at] == values, results[at], default)
 
 
+def packed(lang: str, model: list[tuple]) -> list[tuple]:
+    """The rows of MODEL: 12 bytes an n-gram."""
+    import numpy as np
+
+    rows = []
+    for k, keys, log_p, log_backoff in model:
+        last = k == len(model)  # the top order is no context
+        arrays = keys.astype(np.int64 if last else np.uint32), log_p, log_backoff[: 0 if last else None]
+        own = arrays[0], *(x.astype(np.float32) for x in arrays[1:])
+        rows.append((lang, k, *(x.tobytes() for x in own)))
+    return rows
+
+
 MODEL = "lang string, order int, keys binary, log_p binary, log_backoff binary"
 
 
 def fit_models(counts: DataFrame) -> DataFrame:
-    """One row of sorted arrays per language and order; a group has at most 2^20 counts."""
+    """One row of sorted arrays per language and order; a group has the different 5-grams of a
+    language, which are far fewer than its bytes, in one task."""
 
     def fit(pdf):
         import pandas as pd
 
-        fitted = fit_kneser_ney(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
-        rows = [(pdf["lang"].iloc[0], k, *(x.tobytes() for x in arrays)) for k, *arrays in fitted]
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in MODEL.split(", ")])
+        fitted = fit_kneser_ney(pdf["gram"].to_numpy(), pdf["n"].to_numpy(), SYMBOLS, ORDER)
+        return pd.DataFrame(packed(pdf["lang"].iloc[0], fitted), columns=[f.split()[0] for f in MODEL.split(", ")])
 
     return counts.groupBy("lang").applyInPandas(fit, MODEL)
 
@@ -254,16 +291,16 @@ def text_counts(text: bytes) -> tuple[int, int, int, int, int]:
     )
 
 
-def score_texts(docs: DataFrame, models: list[tuple]) -> DataFrame:
+def score_texts(docs: DataFrame, models: Scores) -> DataFrame:
     """The counts of each text, log_ppl and log_mix (see perplexities).
 
-    models: the rows of fit_models, at most LANGUAGES + 1 languages of four orders; broadcast.
+    models: of the rows of fit_models, at most LANGUAGES + 1 languages; broadcast.
     """
     context = docs.sparkSession.sparkContext
     sent = context.broadcast(models)
 
     def score(batches):
-        tables = _tables(sent.value)
+        tables = sent.value
         for batch in batches:
             rows = []
             columns = [batch.column(c).to_pylist() for c in ("doc_id", "lang", "code")]
@@ -275,28 +312,73 @@ def score_texts(docs: DataFrame, models: list[tuple]) -> DataFrame:
     return docs.mapInArrow(score, SCORED)
 
 
-def perplexities(text: bytes, lang: str, tables: dict) -> tuple:
+def perplexities(text: bytes, lang: str, tables: Scores) -> tuple:
     """Mean negative log-probability a byte: in lang, and with each line in its best language."""
     import numpy as np
 
     if not text:
         return None, None
-    keys = _keys(text)
+    at = tables.places(_keys(text))
     breaks = np.flatnonzero(np.frombuffer(text, dtype=np.uint8)[:-1] == 10) + 1
     lines = np.concatenate([[0], breaks])
-    sums = {k: np.add.reduceat(t[keys], lines, dtype=np.float64) for k, t in tables.items()}
+    sums = {k: np.add.reduceat(t[at], lines, dtype=np.float64) for k, t in tables.by_lang.items()}
     best = np.max(list(sums.values()), axis=0)
     return -float(sums[lang].sum()) / len(text), -float(best.sum()) / len(text)
 
 
-def _tables(rows) -> dict:
-    import numpy as np
+class Scores:
+    """The log-probabilities, in every model, of all 5-grams that any model has counted.
+
+    The 5-grams are found by their place in a table of hashes at most a quarter full, one look-up for
+    all models. A text that was not counted may have others: these are as likely as any byte.
+    """
+
+    def __init__(self, rows: list[tuple]):
+        import numpy as np
+
+        models: dict[str, list] = {}
+        for lang, order, keys, log_p, log_backoff in rows:
+            kind = np.int64 if order == ORDER else np.uint32
+            arrays = (np.frombuffer(x, np.float32) for x in (log_p, log_backoff))
+            models.setdefault(lang, []).append((order, np.frombuffer(keys, kind).astype(np.int64), *arrays))
+        models = {lang: sorted(own, key=lambda r: r[0]) for lang, own in models.items()}
+        tops = [own[-1][1] for own in models.values()]
+        grams = np.unique(np.concatenate(tops)) if tops else np.zeros(0, np.int64)
+        flat = np.float32(-np.log(SYMBOLS))
+        self.by_lang = {
+            lang: np.append(expand(own, grams, SYMBOLS), flat) for lang, own in models.items()
+        }
+        # the last one stands for all that were not counted; no key is so large
+        self.grams = np.append(grams.astype(np.uint64), np.uint64(0xFFFFFFFFFFFFFFFF))
+        self.bits = max(4, (4 * len(grams)).bit_length())
+        self.slots = np.full(1 << self.bits, len(grams), dtype=np.int32)
+        left = np.arange(len(grams))
+        place = self._hash(self.grams[:-1])
+        while len(left):
+            free = self.slots[place] == len(grams)
+            self.slots[place[free]] = left[free]  # of several the last one stays
+            still = self.slots[place] != left
+            left, place = left[still], (place[still] + 1) & ((1 << self.bits) - 1)
+
+    def _hash(self, keys):
+        import numpy as np
+
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def places(self, keys):
+        """Where the arrays of by_lang have the keys."""
+        import numpy as np
 
-    models: dict[str, list] = {}
-    for lang, order, keys, log_p, log_backoff in rows:
-        arrays = np.frombuffer(keys, np.int32), np.frombuffer(log_p), np.frombuffer(log_backoff)
-        models.setdefault(lang, []).append((order, *arrays))
-    return {lang: expand(sorted(rows, key=lambda r: r[0])) for lang, rows in models.items()}
+        place = self._hash(keys)
+        found = self.slots[place]
+        last = len(self.grams) - 1
+        left = np.flatnonzero((self.grams[found] != keys) & (found != last))
+        while len(left):
+            place[left] = (place[left] + 1) & ((1 << self.bits) - 1)
+            here = self.slots[place[left]]
+            found[left] = here
+            left = left[(self.grams[here] != keys[left]) & (here != last)]
+        return found
 
 
 BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
@@ -352,7 +434,7 @@ def judge(docs: DataFrame, band: float = BAND, languages: int = LANGUAGES) -> Da
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
     named, texts, models = _prepared(rows, languages)
     texts = texts.withColumn("lang", named).withColumn("code", F.xxhash64("text"))
-    models = [tuple(r) for r in models.collect()]
+    models = Scores([tuple(r) for r in models.collect()])
     return _inside_bands(stored(score_texts(texts, models), "scores"), band)
 
 
@@ -364,9 +446,9 @@ def keep_good(docs: DataFrame, band: float = BAND, languages: int = LANGUAGES) -
     judge.
     """
     _, _, models = _prepared(docs.select("lang", "text"), languages)
-    models = [tuple(r) for r in models.collect()]
+    models = Scores([tuple(r) for r in models.collect()])
     sent = docs.sparkSession.sparkContext.broadcast(models)
-    has_model = {m[0] for m in models}
+    has_model = set(models.by_lang)
     mark = unused(docs, "_score")[0]
     own = "lang string, n_words bigint, n_repeat_words bigint, n_bytes bigint, log_ppl double, log_mix double"
     schema = StructType([*docs.schema.fields, StructField(mark, StructType.fromDDL(own))])
@@ -374,7 +456,7 @@ def keep_good(docs: DataFrame, band: float = BAND, languages: int = LANGUAGES) -
     def score(batches):
         import pyarrow as pa
 
-        tables = _tables(sent.value)
+        tables = sent.value
         for batch in batches:
             rows = []
             for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch)):
