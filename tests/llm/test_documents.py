@@ -319,6 +319,18 @@ def test_scores_find_every_counted_gram():
     assert (scores.places(grams.astype(np.uint64)) == np.arange(len(grams))).all()
 
 
+@pytest.mark.parametrize("bounds", [(1 << 21, 1 << 21), (50, 30)])
+def test_every_gram_of_every_byte_is_counted(spark, bounds):
+    rows = [("en", "a%b$c aB"), ("en", "A%b$C ab" * 20), ("fr", "été\x00\x01"), ("fr", ""), ("fr", None), ("en", "a%b$c aB")]
+    frame = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    found = {(r.lang, r.gram): r.n for r in quality.count_grams(frame, *bounds).collect()}
+    brute = collections.Counter()
+    for lang, text in rows:
+        padded = b"\xff" * 4 + (text or "").encode()
+        brute.update((lang, int.from_bytes(padded[a : a + 5], "big")) for a in range(len(padded) - 4))
+    assert found == brute
+
+
 def brute_removed(rows, length):
     count = collections.Counter()
     for _, t in rows:
