@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.llm import decontam, minhash, packing, quality, secrets
-from tripmill.llm.common import ship, stored, table
+from tripmill.llm.common import ship, small_batches, stored, table
 from tripmill.llm.queries import tokenizer_file
 
 #: No stage can be expressed in SQL as a whole: a language model decides in the first.
@@ -14,13 +14,13 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules and the perplexity bands reject go."""
-    ship(spark)
+    small_batches(ship(spark))
     return quality.keep_good(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    ship(spark)
+    small_batches(ship(spark))
     return minhash.keep_one(docs)
 
 
@@ -31,13 +31,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Credentials are replaced by a mark; all documents stay."""
-    ship(spark)
+    small_batches(ship(spark))
     return secrets.redact_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the sequences that all documents are packed into."""
-    ship(spark)
+    small_batches(ship(spark))
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), with_ids=False).drop("ids")
 
 

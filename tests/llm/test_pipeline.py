@@ -6,6 +6,7 @@ import corpus_pipeline
 import pytest
 
 from tripmill.llm import decontam, minhash, quality
+from tripmill.llm import common
 from tripmill.llm.common import stored, table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -68,3 +69,24 @@ def test_an_empty_table_goes_through(spark, documents):
     for name, stage in corpus_pipeline.STAGES:
         docs = stored(stage(spark, docs, SF_DIR), name)
         assert docs.count() == 0
+
+
+def test_stages_hand_over_small_batches(spark, documents):
+    """A worker gets 2 MB at a time, not the 64 MB of the default, and all rows."""
+    rows = spark.range(0, 3000, 1, 1).selectExpr(
+        "id doc_id", "repeat(concat('w', id, ' '), 700) text", "'en' lang", "'s' source", "0 n_chars"
+    )
+
+    def sizes(batches):
+        for batch in batches:
+            yield common.arrow_rows([(batch.num_rows, batch.nbytes)], "n bigint, size bigint")
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for before, most in ((None, common.BATCH_BYTES), ("1g", common.BATCH_BYTES), ("256KB", 256 << 10)):
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for stage in ("quality_rules", "near_dedup", "secret_scan", "packing"):
+            kept = dict(corpus_pipeline.STAGES)[stage](spark, documents.limit(0), SF_DIR)
+            assert kept.count() == 0
+            found = rows.mapInArrow(sizes, "n bigint, size bigint").collect()
+            assert sum(r.n for r in found) == 3000
+            assert max(r.size for r in found) < most + 50_000, (before, stage)
