@@ -90,3 +90,25 @@ def test_stages_hand_over_small_batches(spark, documents):
             found = rows.mapInArrow(sizes, "n bigint, size bigint").collect()
             assert sum(r.n for r in found) == 3000
             assert max(r.size for r in found) < most + 50_000, (before, stage)
+
+
+def test_the_quality_stage_counts_every_byte_of_every_language(spark, monkeypatch):
+    """No language, case, mark or control character is left out of what the models are fitted to."""
+    rows = [(k, f"Abc {k}% dé\x01 " * (k % 7 + 1), f"l{k % 20}") for k in range(200)]
+    rows += [(900, "no language, aB", None), (901, None, "l1"), (902, "", "l2"), (900, "no language, aB", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    counted = []
+    fit = quality.fit_models
+    monkeypatch.setattr(quality, "fit_models", lambda counts: counted.append(counts) or fit(counts))
+    corpus_pipeline.quality_rules(spark, docs, SF_DIR)
+    own = quality.own_languages(docs)
+    assert len(own) == 16
+    brute = collections.Counter()
+    for _, text, lang in rows:
+        padded = b"\xff" * 4 + (text or "").encode()
+        brute.update(
+            (lang if lang in own else quality.OTHER, int.from_bytes(padded[a : a + 5], "big"))
+            for a in range(len(padded) - 4)
+        )
+    assert {(r.lang, r.gram): r.n for r in counted[0].collect()} == brute
+    assert sum(brute.values()) == sum(len((text or "").encode()) for _, text, _ in rows)
