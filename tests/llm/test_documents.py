@@ -331,6 +331,37 @@ def test_every_gram_of_every_byte_is_counted(spark, bounds):
     assert found == brute
 
 
+@pytest.mark.parametrize("task_bytes", [quality.RARE_BYTES, 300])
+def test_languages_beyond_the_most_frequent_have_models_of_their_own(spark, monkeypatch, task_bytes):
+    """The bound on broadcast models decides no text's own model, whatever part of a language a task scores."""
+    rng = np.random.default_rng(5)
+    words = [["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(30)] for _ in range(7)]
+    names = ["l0", "l1", "l2", "l3", "", "None", "l6"]
+    rows = [
+        (k, names[k % 7 if k < 70 else 0], "\n".join(" ".join(rng.choice(words[k % 7], 15)) for _ in range(3)))
+        for k in range(100)
+    ]
+    rows += [(100, None, "of no language, but of more than ten words for all that it says"), (101, "l3", None),
+             (102, "l3", ""), (103, "only empty", ""), (rows[6]), (rows[6]), (None, "l6", rows[6][2])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    whole = quality.judge(frame, languages=20).collect()
+    scored = quality.score_rare
+    monkeypatch.setattr(quality, "score_rare", lambda *a: scored(*a, task_bytes=task_bytes))
+    bounded = quality.judge(frame, languages=2)
+    found = bounded.collect()
+
+    def own(judged):
+        return sorted((str(r.doc_id), r.lang, r.n_words, r.log_ppl and round(r.log_ppl, 9)) for r in judged
+                      if r.doc_id not in (100, 103))
+
+    assert len(found) == len(rows) and own(found) == own(whole)
+    assert {r.lang for r in found} == {*names, "only empty", quality.OTHER}
+    kept = quality.keep_good(frame.withColumn("_score", frame.lang), languages=2)
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(r.doc_id) for r in found if r.kept)
+    assert kept.columns == ["doc_id", "lang", "text", "_score"]
+    assert all(r.low is not None and r.low <= r.log_ppl for r in found if r.kept)
+
+
 def brute_removed(rows, length):
     count = collections.Counter()
     for _, t in rows:

@@ -112,3 +112,25 @@ def test_the_quality_stage_counts_every_byte_of_every_language(spark, monkeypatc
         )
     assert {(r.lang, r.gram): r.n for r in counted[0].collect()} == brute
     assert sum(brute.values()) == sum(len((text or "").encode()) for _, text, _ in rows)
+
+
+def test_the_quality_stage_fits_a_model_to_each_language(spark, monkeypatch):
+    """Also to those beyond the languages whose models are broadcast."""
+    rows = [(k, f"Abc {k}% dé\x01 " * (k % 7 + 1), f"l{k % 20}") for k in range(200)]
+    rows += [(900, "no language, aB", None), (901, None, "l1"), (902, "", "l19"), (903, "one text", "l99")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    counted = []
+    fit = quality.fit_models
+    monkeypatch.setattr(quality, "fit_models", lambda counts: counted.append(counts) or fit(counts))
+    corpus_pipeline.quality_rules(spark, docs, SF_DIR)
+    found = collections.defaultdict(dict)
+    for r in (r for counts in counted for r in counts.collect()):
+        assert r.gram not in found[r.lang]
+        found[r.lang][r.gram] = r.n
+    brute = collections.defaultdict(collections.Counter)
+    for _, text, lang in rows:
+        padded = b"\xff" * 4 + (text or "").encode()
+        brute[lang].update(int.from_bytes(padded[a : a + 5], "big") for a in range(len(padded) - 4))
+    for lang in {lang for _, _, lang in rows if lang}:
+        assert found[lang] == brute[lang], lang
+    assert set(found) == {lang for _, _, lang in rows if lang} | {quality.OTHER}
