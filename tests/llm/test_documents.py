@@ -331,7 +331,7 @@ def test_every_gram_of_every_byte_is_counted(spark, bounds):
     assert found == brute
 
 
-@pytest.mark.parametrize("task_bytes", [quality.RARE_BYTES, 300])
+@pytest.mark.parametrize("task_bytes", [quality.RARE_BYTES, 3000, 300])
 def test_languages_beyond_the_most_frequent_have_models_of_their_own(spark, monkeypatch, task_bytes):
     """The bound on broadcast models decides no text's own model, whatever part of a language a task scores."""
     rng = np.random.default_rng(5)

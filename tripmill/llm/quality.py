@@ -21,8 +21,8 @@ SYMBOLS = 256
 #: model of its own as well, which only the tasks get that score its texts.
 LANGUAGES = 16
 OTHER = "*"
-#: Bytes of such a language that one task scores.
-RARE_BYTES = 64 << 20
+#: Bytes of such a language that one task scores; one of no more is also counted and fitted there.
+RARE_BYTES = 32 << 20
 #: Width of the bands, in quartile distances from the median of the language.
 BAND = 5.0
 #: No band is narrower than so many nats a byte, widened for short texts.
@@ -57,6 +57,16 @@ def _summed(keys, counts):
     return keys[first], np.add.reduceat(counts, first)
 
 
+def _added(total, waiting: list):
+    """total, None or as _summed gives it, with the keys of the arrays in waiting."""
+    import numpy as np
+
+    found, counts = np.unique(np.concatenate(waiting), return_counts=True)
+    if total is None:
+        return found, counts
+    return _summed(np.concatenate([total[0], found]), np.concatenate([total[1], counts]))
+
+
 def count_grams(docs: DataFrame, gathered: int = GATHERED, held: int = HELD) -> DataFrame:
     """(lang, gram, n): every 5-gram of every text; docs has (lang, text).
 
@@ -74,12 +84,7 @@ def count_grams(docs: DataFrame, gathered: int = GATHERED, held: int = HELD) ->
 
         def add():
             for lang, keys in waiting.items():
-                found, counts = np.unique(np.concatenate(keys), return_counts=True)
-                if lang in totals:
-                    before = totals[lang]
-                    found = np.concatenate([before[0], found])
-                    found, counts = _summed(found, np.concatenate([before[1], counts]))
-                totals[lang] = found, counts
+                totals[lang] = _added(totals.get(lang), keys)
             waiting.clear()
 
         def emit():
@@ -305,13 +310,9 @@ def score_texts(docs: DataFrame, sent, rate, schema) -> DataFrame:
     return docs.mapInArrow(score, schema)
 
 
-def score_rare(rare: DataFrame, sent, rate, schema, task_bytes: int = RARE_BYTES) -> DataFrame:
-    """What rate(batch, [models, own], lang) makes of the rows of rare: (lang, row), a struct with text.
-
-    Each language has a model, `own`, fitted to every 5-gram of all of its texts. It is sent ahead
-    of the rows to the tasks that score the language, `task_bytes` of text each, and a task holds
-    one at a time; none passes through the driver.
-    """
+def _score_large(rare: DataFrame, sent, rate, schema, task_bytes: int) -> DataFrame:
+    """score_rare of languages that more than one task scores: the model is sent ahead of the rows to
+    each of these tasks, and a task holds one at a time; none passes through the driver."""
     grams = stored(count_grams(rare.select("lang", "row.text")), "rare_grams")
     parts = grams.groupBy("lang").agg((F.sum("n") / task_bytes).cast("int").alias("parts"))
     arrays = [f for f in StructType.fromDDL(MODEL).fields if f.name.startswith(("keys", "log"))]
@@ -354,6 +355,61 @@ def score_rare(rare: DataFrame, sent, rate, schema, task_bytes: int = RARE_BYTES
     return both.sortWithinPartitions("lang", "part", "order").mapInArrow(score, schema)
 
 
+def _runs(langs: list):
+    """(start, end) of equal neighbours."""
+    edges = [k for k in range(1, len(langs)) if langs[k] != langs[k - 1]]
+    return zip([0, *edges], [*edges, len(langs)])
+
+
+def _score_small(rare: DataFrame, sent, rate, schema) -> DataFrame:
+    """score_rare of languages that one task can hold, which counts, fits and scores each in turn."""
+
+    def score(batches):
+        import pyarrow as pa
+
+        tables = sent.value
+        lang, held, total, waiting, n_waiting = None, [], None, [], 0
+
+        def scored():
+            grams = _added(total, waiting) if waiting else total
+            own = Scores(packed(lang, fit_kneser_ney(*grams, SYMBOLS, ORDER)) if grams else [])
+            for texts in held:
+                yield rate(texts, [tables, own], lang)
+
+        for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            for at, end in _runs(langs) if langs else ():
+                if langs[at] != lang:
+                    yield from scored()
+                    lang, held, total, waiting, n_waiting = langs[at], [], None, [], 0
+                held.append(pa.RecordBatch.from_struct_array(batch.column("row").slice(at, end - at)))
+                for text in filter(None, utf8(held[-1])):
+                    waiting.append(_keys(text))
+                    n_waiting += len(text)
+                    if n_waiting > GATHERED:
+                        total, waiting, n_waiting = _added(total, waiting), [], 0
+        yield from scored()
+
+    return rare.repartition("lang").sortWithinPartitions("lang").mapInArrow(score, schema)
+
+
+def score_rare(rare: DataFrame, sent, rate, schema, task_bytes: int = RARE_BYTES) -> DataFrame:
+    """What rate(batch, [models, own], lang) makes of the rows of rare: (lang, row), a struct with text.
+
+    Each language has a model, `own`, fitted to every 5-gram of all of its texts. Languages of up to
+    `task_bytes` are shuffled once as texts, others have `task_bytes` of text scored by a task.
+    """
+    sizes = rare.groupBy("lang").agg(F.sum(F.octet_length("row.text")).alias("size"))
+    large = stored(sizes.filter(F.col("size") > task_bytes).select("lang"), "large_languages")
+    if large.isEmpty():
+        return _score_small(rare, sent, rate, schema)
+    # at most one language per `task_bytes` of the corpus
+    small = rare.join(F.broadcast(large), "lang", "left_anti")
+    rest = rare.join(F.broadcast(large), "lang", "left_semi")
+    whole = _score_small(small, sent, rate, schema)
+    return whole.union(_score_large(rest, sent, rate, schema, task_bytes))
+
+
 def _scored(rows: DataFrame, rare, sent, rate, schema) -> DataFrame:
     """What rate makes of all rows, written; rare: see _prepared."""
     if rare is None:
