@@ -3,6 +3,7 @@
 import collections
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from tripmill.llm import decontam, minhash, quality
@@ -119,18 +120,25 @@ def test_the_quality_stage_fits_a_model_to_each_language(spark, monkeypatch):
     rows = [(k, f"Abc {k}% dé\x01 " * (k % 7 + 1), f"l{k % 20}") for k in range(200)]
     rows += [(900, "no language, aB", None), (901, None, "l1"), (902, "", "l19"), (903, "one text", "l99")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    counted = []
-    fit = quality.fit_models
-    monkeypatch.setattr(quality, "fit_models", lambda counts: counted.append(counts) or fit(counts))
+    found = []
+    inside = quality._inside_bands
+    monkeypatch.setattr(quality, "_inside_bands", lambda scored, band: found.append(scored) or inside(scored, band))
     corpus_pipeline.quality_rules(spark, docs, SF_DIR)
-    found = collections.defaultdict(dict)
-    for r in (r for counts in counted for r in counts.collect()):
-        assert r.gram not in found[r.lang]
-        found[r.lang][r.gram] = r.n
+    found = found[0].collect()
+    assert len(found) == len(rows)
     brute = collections.defaultdict(collections.Counter)
     for _, text, lang in rows:
         padded = b"\xff" * 4 + (text or "").encode()
         brute[lang].update(int.from_bytes(padded[a : a + 5], "big") for a in range(len(padded) - 4))
-    for lang in {lang for _, _, lang in rows if lang}:
-        assert found[lang] == brute[lang], lang
-    assert set(found) == {lang for _, _, lang in rows if lang} | {quality.OTHER}
+    scores = {}
+    for lang, counts in brute.items():
+        model = quality.fit_kneser_ney(np.array(list(counts)), np.array(list(counts.values())), 256, 5)
+        scores[lang] = quality.Scores(quality.packed(lang, model))
+    for r in found:
+        text = (r.row.text or "").encode()
+        assert r.lang == (r.row.lang or quality.OTHER)
+        if r.row.lang and text:
+            log_p = scores[r.lang].by_lang[r.lang][scores[r.lang].places(quality._keys(text))]
+            assert abs(r.log_ppl + log_p.sum(dtype=np.float64) / len(text)) < 1e-9
+        else:
+            assert (r.log_ppl is None) == (not text)
